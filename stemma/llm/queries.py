@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stemma.llm import charnorm
+from stemma.llm import canonical, charnorm
 from stemma.session import table
 
 # ---------------------------------------------------------------- standard spelling
@@ -36,3 +36,40 @@ def p2_standard(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {"p2_found": p2_found, "p2_standard": p2_standard}
 ORACLE: dict[str, str] = {}
+
+# ---------------------------------------------------------------- canonical languages
+
+
+def _vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    return canonical.vocabulary(spark, table(spark, sf, "lang_abbrev_master"), "abbrev_id", "eng_abbrev", "source_abbrev", "full_language_name")
+
+
+def _typed_languages(spark: SparkSession, sf: str) -> DataFrame:
+    listed = table(spark, sf, "lang_abbrev_master").select(F.explode(F.split("source_abbrev", ",")).alias("l")).select(F.trim("l").alias("listed")).distinct()
+    links = table(spark, sf, "lex_ref_link").select(
+        F.lit("lex_ref_link").alias("source_table"), F.col("lex_ref_link_id").cast("string").alias("row_key"), F.col("orig_lang_abbrev").alias("v")
+    )
+    links = links.where("v is not null").join(F.broadcast(listed), F.col("v") == F.col("listed"), "left_anti")
+    raw = table(spark, sf, "unmapped_summary").select(
+        F.lit("unmapped_summary").alias("source_table"), F.col("orig_lang_abbrev_raw").alias("row_key"), F.col("orig_lang_abbrev_raw").alias("v")
+    )
+    return links.unionByName(raw.where("v is not null"))
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _typed_languages(spark, sf)
+    mapped = canonical.canonicalize(rows.select("v").distinct(), _vocabulary(spark, sf)).select(F.col("v").alias("m_v"), "entry")
+    return rows.join(mapped, F.col("v") == F.col("m_v"), "left").select(
+        "source_table", "row_key", F.coalesce("entry", F.lit(0)).alias("abbrev_id")
+    ).distinct()
+
+
+def p7_unmapped(spark: SparkSession, sf: str) -> DataFrame:
+    """Values that name no entry, with the number of rows they hold in either table."""
+    rows = _typed_languages(spark, sf)
+    counted = rows.groupBy("v", "source_table").agg(F.count(F.lit(1)).alias("n_rows"))
+    mapped = canonical.canonicalize(rows.select("v").distinct(), _vocabulary(spark, sf)).select(F.col("v").alias("m_v"))
+    return counted.join(mapped, F.col("v") == F.col("m_v"), "left_anti").select(F.col("v").alias("typed_value"), "source_table", "n_rows")
+
+
+QUERIES |= {"p7_found": p7_found, "p7_unmapped": p7_unmapped}
