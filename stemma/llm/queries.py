@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stemma.llm import canonical, charnorm
+from stemma.llm import canonical, charnorm, quality
 from stemma.session import table
 
 # ---------------------------------------------------------------- standard spelling
@@ -73,3 +73,17 @@ def p7_unmapped(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES |= {"p7_found": p7_found, "p7_unmapped": p7_unmapped}
+
+# ---------------------------------------------------------------- text quality
+
+
+def p10_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    common = quality.common_words(table(spark, sf, "common_words"))
+    return quality.statistics(table(spark, sf, "documents"), "doc_id", "text", common)
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p10_statistics(spark, sf).where("kind in ('list', 'table', 'junk')").select("doc_id").distinct()
+
+
+QUERIES |= {"p10_found": p10_found, "p10_statistics": p10_statistics}
