@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stemma.llm import canonical, charnorm, quality
+from stemma.llm import canonical, charnorm, quality, truncation
 from stemma.session import table
 
 # ---------------------------------------------------------------- standard spelling
@@ -87,3 +87,38 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES |= {"p10_found": p10_found, "p10_statistics": p10_statistics}
+
+# ---------------------------------------------------------------- cut texts
+
+_REF_KINDS = {"gloss": "item", "reflex": "prefix", "rt_gloss_eng": "none"}
+
+
+def _cut_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    master, roots = table(spark, sf, "lex_master"), table(spark, sf, "rt_ref_link")
+    parts = [
+        master.select(F.lit("gloss").alias("field"), F.col("lang").alias("source_key"), F.col("lemma_id").alias("row_id"), F.col("gloss").alias("value"), F.col("entry_str").alias("ref")),
+        master.select(F.lit("reflex").alias("field"), F.col("lang").alias("source_key"), F.col("lemma_id").alias("row_id"), F.col("reflex").alias("value"), F.col("orthography").alias("ref")),
+        roots.select(F.lit("rt_gloss_eng").alias("field"), F.col("ref_id").alias("source_key"), F.col("rt_ref_link_id").alias("row_id"), F.col("rt_gloss_eng").alias("value"), F.lit(None).cast("string").alias("ref")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
+
+
+def p4_scored(spark: SparkSession, sf: str) -> DataFrame:
+    """Every value with the probability that it was cut."""
+    scored, _ = truncation.score(_cut_candidates(spark, sf), _REF_KINDS)
+    return scored.select(F.col("field").alias("field_name"), "source_key", "row_id", "value", "ref", "at_limit", "known", "probability")
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p4_scored(spark, sf).where("probability > 0.5").select("field_name", "source_key", "row_id").distinct()
+
+
+def p4_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """How often each source truncates."""
+    cut_ = F.col("probability") > 0.5
+    return p4_scored(spark, sf).groupBy("field_name", "source_key").agg(
+        F.count(F.lit(1)).alias("n_values"), F.count_if(cut_).alias("n_cut"), F.avg(cut_.cast("double")).alias("cut_rate")
+    )
+
+
+QUERIES |= {"p4_found": p4_found, "p4_scored": p4_scored, "p4_rates": p4_rates}
