@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stemma.llm import canonical, charnorm, quality, truncation
+from stemma.llm import canonical, charnorm, linkage, quality, truncation
 from stemma.session import table
 
 # ---------------------------------------------------------------- standard spelling
@@ -122,3 +122,64 @@ def p4_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES |= {"p4_found": p4_found, "p4_scored": p4_scored, "p4_rates": p4_rates}
+
+# ---------------------------------------------------------------- linkage
+
+
+MAX_LANGUAGES = 1_000
+
+
+def _entries(spark: SparkSession, sf: str) -> DataFrame:
+    """Dictionary entries, one row per written form (lemma and transliteration)."""
+    m = table(spark, sf, "lex_master").select("lang", "lemma_id", "lemma", "lemma_translit", "page_num", "gloss", "entry_str", "last_updated")
+    m = m.where("lang is not null and lemma_id is not null")
+    rest = ["lemma", "lemma_translit", "page_num", "gloss", "entry_str"]
+    m = m.groupBy("lang", "lemma_id").agg(F.max(F.struct("last_updated", *rest)).alias("s")).select("lang", "lemma_id", *[f"s.{c}" for c in rest])
+    items = linkage.entry_items(F.col("gloss"), F.col("entry_str"))
+    forms = F.array_distinct(F.filter(F.array(linkage.folded(F.col("lemma")), linkage.folded(F.col("lemma_translit"))), lambda f: f.isNotNull() & (f != "")))
+    m = m.select("lang", "lemma_id", items.alias("items"), F.col("page_num").alias("page"), F.posexplode(forms).alias("form_no", "fold"))
+    return m.withColumn("skel", linkage.skeleton(F.col("fold")))
+
+
+def _linkable(spark: SparkSession, sf: str, only_open: bool = True) -> DataFrame:
+    """Attested words with their language, standard form, senses and page."""
+    r = table(spark, sf, "lex_ref_link").select("lex_ref_link_id", "orig_lang_abbrev", "lang", "reflex", "gloss_eng", "page_loc", "word_id", "last_updated")
+    rest = ["orig_lang_abbrev", "lang", "reflex", "gloss_eng", "page_loc", "word_id"]
+    r = r.where("lex_ref_link_id is not null").groupBy("lex_ref_link_id").agg(F.max(F.struct("last_updated", *rest)).alias("s")).select(F.col("lex_ref_link_id").alias("row_id"), *[f"s.{c}" for c in rest])
+    if only_open:
+        paired = table(spark, sf, "temp_on_matching").select(F.col("lex_ref_link_id").alias("row_id"))
+        r = r.where("word_id is null").join(paired, "row_id", "left_anti")
+    r = r.where("reflex is not null")
+    # rows without language get those their free-typed abbreviation names
+    typed = r.where("lang is null and orig_lang_abbrev is not null").select(F.col("orig_lang_abbrev").alias("v")).distinct()
+    codes = table(spark, sf, "lang_abbrev_master").select(F.col("abbrev_id").alias("entry"), F.col("eng_abbrev").alias("code"))
+    named = canonical.canonicalize(typed, _vocabulary(spark, sf)).join(F.broadcast(codes), "entry").select(F.col("v").alias("orig_lang_abbrev"), "code")
+    known = [x["lang"] for x in table(spark, sf, "lex_master").where("lang is not null").select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
+    if len(known) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} dictionaries")
+    languages = F.array(*map(F.lit, sorted(known))) if known else F.array().cast("array<string>")
+    # a language neither given nor named is tried against every dictionary
+    open_ = r.where("lang is null").drop("lang").join(named, "orig_lang_abbrev", "left")
+    open_ = open_.withColumn("sure", F.col("code").isNotNull()).withColumn("lang", F.explode(F.when(F.col("sure"), F.array("code")).otherwise(languages)))
+    r = r.where("lang is not null").withColumn("sure", F.lit(True)).unionByName(open_.drop("code"))
+    r = r.where(F.col("lang").isin(known))
+    r = charnorm.standardize(r, "reflex", "lang", "form")
+    fold = linkage.folded(F.col("form"))
+    r = r.select(
+        "row_id", "lang", "sure", fold.alias("fold"), linkage.gloss_items(F.col("gloss_eng")).alias("items"),
+        linkage.first_number(F.col("page_loc")).alias("page"), F.col("form").endswith("-").alias("is_stem"),
+    )
+    return r.where("fold <> ''").withColumn("skel", linkage.skeleton(F.col("fold")))
+
+
+def p5_matches(spark: SparkSession, sf: str) -> DataFrame:
+    """The entry each open row stands for, with a confidence."""
+    found = linkage.link(_linkable(spark, sf), _entries(spark, sf))
+    return found.select("lang", "lemma_id", F.col("row_id").alias("lex_ref_link_id"), "confidence")
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p5_matches(spark, sf).select("lang", "lemma_id", "lex_ref_link_id")
+
+
+QUERIES |= {"p5_found": p5_found, "p5_matches": p5_matches}
