@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stemma.llm import canonical, charnorm, linkage, quality, truncation
-from stemma.session import table
+from stemma.llm import canonical, charnorm, linkage, mixing, packing, quality, tokens, truncation
+from stemma.session import cut, table
 
 # ---------------------------------------------------------------- standard spelling
 
@@ -149,7 +149,10 @@ def _linkable(spark: SparkSession, sf: str, only_open: bool = True) -> DataFrame
     if only_open:
         paired = table(spark, sf, "temp_on_matching").select(F.col("lex_ref_link_id").alias("row_id"))
         r = r.where("word_id is null").join(paired, "row_id", "left_anti")
-    r = r.where("reflex is not null")
+    r = r.where("reflex is not null").select(
+        "row_id", "orig_lang_abbrev", "lang", "reflex", linkage.gloss_items(F.col("gloss_eng")).alias("items"), linkage.first_number(F.col("page_loc")).alias("page")
+    )
+    r = cut(r)
     # rows without language get those their free-typed abbreviation names
     typed = r.where("lang is null and orig_lang_abbrev is not null").select(F.col("orig_lang_abbrev").alias("v")).distinct()
     codes = table(spark, sf, "lang_abbrev_master").select(F.col("abbrev_id").alias("entry"), F.col("eng_abbrev").alias("code"))
@@ -166,15 +169,14 @@ def _linkable(spark: SparkSession, sf: str, only_open: bool = True) -> DataFrame
     r = charnorm.standardize(r, "reflex", "lang", "form")
     fold = linkage.folded(F.col("form"))
     r = r.select(
-        "row_id", "lang", "sure", fold.alias("fold"), linkage.gloss_items(F.col("gloss_eng")).alias("items"),
-        linkage.first_number(F.col("page_loc")).alias("page"), F.col("form").endswith("-").alias("is_stem"),
+        "row_id", "lang", "sure", fold.alias("fold"), "items", "page", F.col("form").endswith("-").alias("is_stem")
     )
     return r.where("fold <> ''").withColumn("skel", linkage.skeleton(F.col("fold")))
 
 
 def p5_matches(spark: SparkSession, sf: str) -> DataFrame:
     """The entry each open row stands for, with a confidence."""
-    found = linkage.link(_linkable(spark, sf), _entries(spark, sf))
+    found = linkage.link(cut(_linkable(spark, sf)), cut(_entries(spark, sf)))
     return found.select("lang", "lemma_id", F.col("row_id").alias("lex_ref_link_id"), "confidence")
 
 
@@ -183,3 +185,62 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES |= {"p5_found": p5_found, "p5_matches": p5_matches}
+
+# ---------------------------------------------------------------- containers
+
+
+def _token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """doc_id and token count, counted once."""
+    return cut(table(spark, sf, "documents").select("doc_id", tokens.n_tokens(F.col("text")).alias("n_tokens")))
+
+
+def p8_packed(spark: SparkSession, sf: str) -> DataFrame:
+    """Every piece of every document in a container of each capacity."""
+    docs = _token_counts(spark, sf)
+    out = None
+    for b in sorted(table(spark, sf, "pack_budgets").where("capacity_tokens is not null").distinct().collect()):
+        one = packing.pack(docs, "doc_id", "n_tokens", b["capacity_tokens"]).withColumn("budget_name", F.lit(b["budget_name"]))
+        out = one if out is None else out.unionByName(one)
+    return out.select("budget_name", "container_id", "start_token", "doc_id", "piece_no", "n_tokens")
+
+
+def p8_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Containers and share of room used for each capacity, with the least number of containers."""
+    budgets = table(spark, sf, "pack_budgets").distinct()
+    filled = p8_packed(spark, sf).where("container_id is not null").groupBy("budget_name", "container_id").agg(
+        F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("items"), F.max(F.col("start_token") + F.col("n_tokens")).alias("ends")
+    )
+    total = filled.groupBy("budget_name").agg(
+        F.count(F.lit(1)).alias("n_containers"), F.sum("n").alias("n_tokens"), F.sum("items").alias("n_pieces"), F.max("n").alias("fullest"), F.max("ends").alias("furthest_end")
+    )
+    return total.join(F.broadcast(budgets), "budget_name").select(
+        "budget_name", "capacity_tokens", "n_containers", "n_pieces", "n_tokens", "fullest", "furthest_end",
+        F.ceil(F.col("n_tokens") / F.col("capacity_tokens")).alias("least_containers"),
+        (F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens"))).alias("room_used"),
+    )
+
+
+# ---------------------------------------------------------------- mixing
+
+
+def p9_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    """How often each document is used in the mix."""
+    docs = cut(table(spark, sf, "documents").select("doc_id", "source", "text", tokens.n_tokens(F.col("text")).alias("n_tokens")))
+    return mixing.mix(docs, "doc_id", "source", "n_tokens", "text", table(spark, sf, "mix_targets"))
+
+
+def p9_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens, repeats and share of each source in the mix beside its target."""
+    used = p9_mixed(spark, sf).groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.sum(F.col("n_tokens") * F.col("times")).alias("used_tokens"), F.max("times").alias("most_repeats")
+    )
+    targets = table(spark, sf, "mix_targets")
+    used = used.join(F.broadcast(targets), "source", "full_outer")
+    total = used.agg(F.sum("used_tokens").alias("t"))
+    return used.crossJoin(F.broadcast(total)).select(
+        "source", "n_docs", "n_tokens", "used_tokens", "most_repeats", "max_repeats", "target_share",
+        F.when(F.col("t") > 0, F.coalesce("used_tokens", F.lit(0)) / F.col("t")).alias("reached_share"),
+    )
+
+
+QUERIES |= {"p8_packed": p8_packed, "p8_report": p8_report, "p9_mixed": p9_mixed, "p9_report": p9_report}
