@@ -148,8 +148,8 @@ def resolve_abbreviation(values: DataFrame, value: str, lookup: DataFrame, manua
     v = values.select(value).distinct().withColumn("raw", F.coalesce(text.abbreviation(F.col(value)), F.lit("")))
     direct = v.join(codes.select(F.col("token").alias("raw"), F.col("code").alias("direct")), "raw", "left")
     parts = v.select(value, F.explode(text.abbreviation_tokens(F.col("raw"))).alias("token")).join(codes, "token")
-    agreed = parts.groupBy(value).agg(F.collect_set("code").alias("codes"))
-    joined = direct.join(agreed, direct[value].eqNullSafe(agreed[value]), "left").drop(agreed[value])
+    agreed = parts.groupBy(F.col(value).alias("__v")).agg(F.collect_set("code").alias("codes"))
+    joined = direct.join(agreed, F.col(value).eqNullSafe(F.col("__v")), "left").drop("__v")
     n = F.coalesce(F.size("codes"), F.lit(0))
     n = F.when(n < 0, 0).otherwise(n)
     status = F.when(F.col("raw") == "", "empty").when(F.col("direct").isNotNull() | (n == 1), "").when(n == 0, "unmapped").otherwise("conflict")
