@@ -176,11 +176,11 @@ def line_mark(c: Column) -> Column:
 
 
 def location(c: Column) -> tuple[Column, Column, Column]:
-    """(book, chapter, line) of a mark with one to three numbers; null where it has none."""
-    number = r"<[^>]*?(?:(\d+)\.)?(?:(\d+)\.)?(\d+)>"
-    n = [F.nullif(F.regexp_extract(c, number, i), F.lit("")) for i in (1, 2, 3)]
-    # two numbers are chapter and line
-    return F.when(n[1].isNotNull(), n[0]), F.coalesce(n[1], n[0]), n[2]
+    """(book, chapter, line) of a line mark: three parts, book and line, or the line alone."""
+    mark = r"<[^>]*?(\d+(?:-\d+)?)(?:\.([a-zA-Z0-9]+))?(?:\.(\d+))?>"
+    one, two, three = (F.nullif(F.regexp_extract(c, mark, i), F.lit("")) for i in (1, 2, 3))
+    book = F.when(two.isNotNull(), one)
+    return book, F.when(three.isNotNull(), two), F.coalesce(three, two, one)
 
 
 # fixed values: letters a web address writes otherwise

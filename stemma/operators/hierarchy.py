@@ -38,10 +38,10 @@ def name_key(c: Column) -> Column:
 def latest_versions(df: DataFrame, row_id: str, version_by: str) -> DataFrame:
     """One row per ``row_id``, the latest; rows without id are kept as they are."""
     rest = sorted(c for c in df.columns if c not in (row_id, version_by))
-    packed = F.max(F.struct(F.col(version_by).alias("v"), *[F.col(f"`{c}`") for c in rest])).alias("s")
+    packed = F.max(F.struct(F.col(version_by).alias("__version"), *[F.col(f"`{c}`") for c in rest])).alias("__s")
     known = df.where(F.col(row_id).isNotNull()).groupBy(row_id).agg(packed)
     known = known.select(
-        row_id, F.col("s.v").alias(version_by), *[F.col("s").getField(c).alias(c) for c in rest]
+        row_id, F.col("__s.__version").alias(version_by), *[F.col("__s").getField(c).alias(c) for c in rest]
     ).select(*[f"`{c}`" for c in df.columns])
     return known.unionByName(df.where(F.col(row_id).isNull()).distinct())
 
