@@ -131,27 +131,30 @@ MAX_LANGUAGES = 1_000
 
 def _entries(spark: SparkSession, sf: str) -> DataFrame:
     """Dictionary entries, one row per written form (lemma and transliteration)."""
-    m = table(spark, sf, "lex_master").select("lang", "lemma_id", "lemma", "lemma_translit", "page_num", "gloss", "entry_str", "last_updated")
-    m = m.where("lang is not null and lemma_id is not null")
-    rest = ["lemma", "lemma_translit", "page_num", "gloss", "entry_str"]
-    m = m.groupBy("lang", "lemma_id").agg(F.max(F.struct("last_updated", *rest)).alias("s")).select("lang", "lemma_id", *[f"s.{c}" for c in rest])
-    items = linkage.entry_items(F.col("gloss"), F.col("entry_str"))
+    m = table(spark, sf, "lex_master").where("lang is not null and lemma_id is not null")
     forms = F.array_distinct(F.filter(F.array(linkage.folded(F.col("lemma")), linkage.folded(F.col("lemma_translit"))), lambda f: f.isNotNull() & (f != "")))
-    m = m.select("lang", "lemma_id", items.alias("items"), F.col("page_num").alias("page"), F.posexplode(forms).alias("form_no", "fold"))
+    # senses become hashes before the versions of an entry meet: less to shuffle than their text
+    m = m.select("lang", "lemma_id", "last_updated", forms.alias("forms"), linkage.entry_items(F.col("gloss"), F.col("entry_str")).alias("items"), F.col("page_num").alias("page"))
+    m = m.groupBy("lang", "lemma_id").agg(F.max(F.struct("last_updated", "forms", "items", "page")).alias("s"))
+    m = m.select("lang", "lemma_id", "s.items", "s.page", F.posexplode("s.forms").alias("form_no", "fold"))
     return m.withColumn("skel", linkage.skeleton(F.col("fold")))
 
 
 def _linkable(spark: SparkSession, sf: str, only_open: bool = True) -> DataFrame:
     """Attested words with their language, standard form, senses and page."""
-    r = table(spark, sf, "lex_ref_link").select("lex_ref_link_id", "orig_lang_abbrev", "lang", "reflex", "gloss_eng", "page_loc", "word_id", "last_updated")
-    rest = ["orig_lang_abbrev", "lang", "reflex", "gloss_eng", "page_loc", "word_id"]
-    r = r.where("lex_ref_link_id is not null").groupBy("lex_ref_link_id").agg(F.max(F.struct("last_updated", *rest)).alias("s")).select(F.col("lex_ref_link_id").alias("row_id"), *[f"s.{c}" for c in rest])
+    r = table(spark, sf, "lex_ref_link").where("lex_ref_link_id is not null")
     if only_open:
-        paired = table(spark, sf, "temp_on_matching").select(F.col("lex_ref_link_id").alias("row_id"))
-        r = r.where("word_id is null").join(paired, "row_id", "left_anti")
-    r = r.where("reflex is not null").select(
-        "row_id", "orig_lang_abbrev", "lang", "reflex", linkage.gloss_items(F.col("gloss_eng")).alias("items"), linkage.first_number(F.col("page_loc")).alias("page")
+        paired = table(spark, sf, "temp_on_matching").select("lex_ref_link_id")
+        r = r.join(paired, "lex_ref_link_id", "left_anti")
+    rest = ["orig_lang_abbrev", "lang", "reflex", "items", "page", "word_id"]
+    r = r.select(
+        F.col("lex_ref_link_id").alias("row_id"), "last_updated", "orig_lang_abbrev", "lang", "reflex",
+        linkage.gloss_items(F.col("gloss_eng")).alias("items"), linkage.first_number(F.col("page_loc")).alias("page"), "word_id",
     )
+    r = r.groupBy("row_id").agg(F.max(F.struct("last_updated", *rest)).alias("s")).select("row_id", *[f"s.{c}" for c in rest])
+    if only_open:
+        r = r.where("word_id is null")
+    r = r.where("reflex is not null").drop("word_id")
     r = cut(r)
     # rows without language get those their free-typed abbreviation names
     typed = r.where("lang is null and orig_lang_abbrev is not null").select(F.col("orig_lang_abbrev").alias("v")).distinct()
