@@ -26,6 +26,7 @@ import unicodedata as ud
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # fixed values: letters that look alike, foreign letter -> letter of the alphabet
 LATIN_TWINS = {
@@ -116,7 +117,7 @@ def is_quick(value: Column, alphabet: Column) -> Column:
     return safe & ~value.rlike(_EDGE)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _recompose(cluster: pd.Series) -> pd.Series:
     return cluster.map(lambda s: ud.normalize("NFC", s))
 
@@ -153,7 +154,9 @@ def standardize(df: DataFrame, value: str, lang: str | None, out: str = "standar
     )
     odd = tagged.where("not __quick")
     forms = standard_forms(odd.select(v.alias("v"), F.col("__alphabet").alias("alphabet")).distinct())
-    forms = forms.withColumnRenamed("standard", out) if out != "standard" else forms
-    fixed = odd.join(forms, (v == F.col("v")) & (F.col("__alphabet") == F.col("alphabet")), "left").drop("v", "alphabet", "__alphabet", "__quick")
+    # names no table has, so that none of the rows' own columns can clash
+    forms = forms.toDF("__form", "__form_alphabet", "__standard")
+    fixed = odd.join(forms, (v == F.col("__form")) & (F.col("__alphabet") == F.col("__form_alphabet")), "left")
+    fixed = fixed.withColumn(out, F.col("__standard")).drop("__form", "__form_alphabet", "__standard", "__alphabet", "__quick")
     quick = tagged.where("__quick").drop("__alphabet", "__quick").withColumn(out, v)
     return quick.unionByName(fixed)

@@ -155,10 +155,10 @@ def vocabulary(values: DataFrame) -> DataFrame:
 
 def _with_known(df: DataFrame, vocab: DataFrame) -> DataFrame:
     word = F.rtrim(F.regexp_extract(F.lower("value"), TAIL_WORD_SQL, 1), F.lit(".'"))
-    seen = F.coalesce("seen", F.lit(0))
+    seen = F.coalesce("__seen", F.lit(0))
     level = F.when(seen >= 20, 3).when(seen >= 5, 2).when(seen >= 2, 1).otherwise(0)
-    df = df.withColumn("tail_word", word).join(vocab.withColumnRenamed("word", "v_word"), F.col("tail_word") == F.col("v_word"), "left")
-    return df.withColumn("known", F.when(F.col("tail_word") == "", 2).otherwise(level)).drop("tail_word", "v_word", "seen")
+    df = df.withColumn("__tail", word).join(vocab.select(F.col("word").alias("__word"), F.col("seen").alias("__seen")), F.col("__tail") == F.col("__word"), "left")
+    return df.withColumn("known", F.when(F.col("__tail") == "", 2).otherwise(level)).drop("__tail", "__word", "__seen")
 
 
 def _positions(c: Column, salt: int) -> Column:
@@ -258,9 +258,10 @@ def prepare(values: DataFrame) -> DataFrame:
     """Drop blank values and tell which stand at the limit of their source."""
     values = values.where(F.length(F.trim("value")) > 0)
     lim = limits(values)
-    at = (F.length("value") == F.col("max_chars")) | (F.octet_length("value").between(F.col("max_bytes") - 1, F.col("max_bytes")))
-    joined = values.join(lim, ["field", "source_key"], "left")
-    return joined.withColumn("at_limit", F.coalesce(at, F.lit(False))).drop("max_chars", "max_bytes")
+    at = (F.length("value") == F.col("__chars")) | (F.octet_length("value").between(F.col("__bytes") - 1, F.col("__bytes")))
+    lim = lim.toDF("__field", "__source", "__chars", "__bytes")
+    joined = values.join(lim, (F.col("field") == F.col("__field")) & F.col("source_key").eqNullSafe(F.col("__source")), "left")
+    return joined.withColumn("at_limit", F.coalesce(at, F.lit(False))).drop("__field", "__source", "__chars", "__bytes")
 
 
 def score(values: DataFrame, ref_kinds: dict[str, str], max_train: int = 6_400) -> tuple[DataFrame, float]:
