@@ -8,6 +8,7 @@ import unicodedata as ud
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 ACUTE, GRAVE, CIRCUMFLEX = "́", "̀", "̂"
 VIRAMA, UDATTA = "्", "॑"
@@ -179,10 +180,10 @@ def greek_to_roman(s: str) -> str:
     return re.sub(r"g(?=g|k(?!h$)|kh|x)", "n", s)
 
 
-def batch(f, kind: str = "string"):
+def batch(f):
     """A scalar function as an Arrow function; nulls stay null."""
 
-    @F.pandas_udf(kind)
+    @F.pandas_udf(StringType())
     def run(c: pd.Series) -> pd.Series:
         return c.map(f, na_action="ignore")
 
@@ -226,7 +227,7 @@ def _compose(symbol: str, key: str) -> str:
     return symbol + (MARKS.get(key) or APPENDED.get(key) or "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def modify(left: pd.Series, key: pd.Series) -> pd.Series:
     """The text with a modifier applied to its last symbol; unknown modifiers change nothing."""
 

@@ -154,7 +154,7 @@ def line_entries(entries: DataFrame, column: str = "entry") -> DataFrame:
     gloss = F.trim(F.regexp_replace(first_i, pos_pattern, ""), F.lit(" ,;:."))
     imputed = F.when(gloss.startswith("to "), "v.").when(gloss.rlike(r"^(?:a|an|the) "), "n.")
     plain = F.trim(F.regexp_replace(F.regexp_replace(rest, r"<[^>]*>", ""), r"\s+", " "))
-    senses = F.filter(F.split(plain, r"(?:^|\s)(?=(?:[IVX]+|\d{1,2}|[a-z])\.\s)"), lambda x: x.rlike(r"^(?:[IVX]+|\d{1,2}|[a-z])\.\s"))
+    senses = F.filter(F.split(plain, r"(?:^|\s)(?=(?:[IVX]+|\d{1,2}|[a-eg-lo-u])\.\s)"), lambda x: x.rlike(r"^(?:[IVX]+|\d{1,2}|[a-eg-lo-u])\.\s"))
     return entries.select(
         "*", F.nullif(lemma, F.lit("")).alias("lemma"), etymology.alias("etymology"), F.coalesce(F.when(is_gender, "n.").otherwise(mark), imputed).alias("pos"),
         F.when(is_gender, mark).alias("gender"), F.nullif(gloss, F.lit("")).alias("gloss"), plain.alias("entry_str"),
