@@ -36,8 +36,7 @@ def json_entries(records: DataFrame, order: str) -> DataFrame:
 
     A record whose first sense has no gloss, and no mark that says so, gets ``error``.
     """
-    w = Window.orderBy(order)
-    numbered = records.withColumn("lemma_id", F.row_number().over(w)) if "lemma_id" not in records.columns else records
+    numbered = records if "lemma_id" in records.columns else windows.global_row_number(records, [F.col(order)], "lemma_id")
     tags = F.try_element_at("forms", F.lit(1))["tags"]
     pos = _named(F.col("pos"), POS_NAMES)
     second = F.try_element_at(tags, F.lit(2))

@@ -115,7 +115,33 @@ QUERIES = {
     "p6_records": p6_records,
 }
 
+_NODES = r"""
+WITH RECURSIVE latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sense_id ORDER BY last_updated DESC NULLS LAST, parent_h_number DESC NULLS LAST) AS rn FROM lex_senses) WHERE rn = 1),
+node AS (
+  SELECT coalesce(lang, '') AS sc, lower(trim(h_number, E' \t\r\n' || chr(160))) AS k, min(sense_id) AS id
+  FROM latest WHERE trim(h_number, E' \t\r\n' || chr(160)) <> '' GROUP BY ALL),
+edge AS (
+  SELECT n.id, p.id AS parent FROM node n JOIN latest l ON l.sense_id = n.id
+  JOIN node p ON p.sc = n.sc AND p.k = lower(trim(l.parent_h_number, E' \t\r\n' || chr(160)))),
+tree(id, root, depth, path) AS (
+  SELECT n.id, n.id, 0, [n.id] FROM node n WHERE n.id NOT IN (SELECT id FROM edge)
+  UNION ALL SELECT e.id, t.root, t.depth + 1, list_append(t.path, e.id) FROM tree t JOIN edge e ON e.parent = t.id),
+above AS (SELECT id AS descendant, unnest(path) AS node, unnest(range(len(path), 0, -1)) - 1 AS distance FROM tree)
+"""
+
 ORACLE: dict[str, str] = {
+    "p1_hierarchy": _NODES + r"""
+, walk(start, cur) AS (SELECT id, parent FROM edge WHERE id NOT IN (SELECT id FROM tree) UNION SELECT w.start, e.parent FROM walk w JOIN edge e ON e.id = w.cur),
+onloop AS (SELECT DISTINCT start AS id FROM walk WHERE start = cur),
+below AS (SELECT node AS id, count(*) AS n FROM above WHERE distance > 0 GROUP BY 1)
+SELECT n.sc AS lang, n.k AS h_key, n.id AS sense_id, t.root, t.depth, array_to_string(coalesce(t.path, []), '/') AS path,
+  CASE WHEN t.id IS NOT NULL THEN coalesce(b.n, 0) END AS n_below,
+  CASE WHEN t.id IS NOT NULL THEN 'tree' WHEN o.id IS NOT NULL THEN 'loop' ELSE 'below_loop' END AS state,
+  CASE WHEN coalesce(trim(l.parent_h_number, E' \t\r\n' || chr(160)), '') = '' THEN 'none' WHEN e.id IS NULL THEN 'missing' ELSE 'found' END AS parent_status
+FROM node n JOIN latest l ON l.sense_id = n.id LEFT JOIN edge e ON e.id = n.id LEFT JOIN tree t ON t.id = n.id LEFT JOIN onloop o ON o.id = n.id LEFT JOIN below b ON b.id = n.id""",
+    "p1_descendants": _NODES + """
+SELECT node, descendant, distance FROM above WHERE distance > 0""",
     "p1_found": r"""
 WITH RECURSIVE latest AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sense_id ORDER BY last_updated DESC NULLS LAST, parent_h_number DESC NULLS LAST) AS rn FROM lex_senses) WHERE rn = 1),

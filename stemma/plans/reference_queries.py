@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stemma.functions import text
-from stemma.operators import match, merge, windows
+from stemma.functions import markup, text, translit
+from stemma.operators import corpus, match, merge, transliteration_match, windows
 from stemma.session import table
+from stemma.sources import sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -384,8 +385,9 @@ def o1_o2_order_limit_offset(spark, sf):
 @query("""SELECT sense_id, row_number() OVER (ORDER BY TRY_CAST(sense_num AS DOUBLE) IS NULL, TRY_CAST(sense_num AS DOUBLE), sense_num, sense_id, h_number, last_updated) AS place FROM lex_senses WHERE lang = 'Goth.' AND sense_num IS NOT NULL""")
 def o5_numeric_else_text_order(spark, sf):
     n = c("sense_num").try_cast("double")
-    w = Window.orderBy(n.isNull(), n, "sense_num", "sense_id", "h_number", "last_updated")
-    return table(spark, sf, "lex_senses").where("lang = 'Goth.' and sense_num is not null").select("sense_id", F.row_number().over(w).alias("place"))
+    order = [n.isNull(), n, c("sense_num"), c("sense_id"), c("h_number"), c("last_updated")]
+    s = table(spark, sf, "lex_senses").where("lang = 'Goth.' and sense_num is not null")
+    return windows.global_row_number(s, order, "place").select("sense_id", "place")
 
 
 @query("""SELECT lang, lemma_id AS id FROM lex_master UNION ALL SELECT lang, sense_id FROM lex_senses""")
@@ -416,7 +418,7 @@ def w2_unique_or_ambiguous(spark, sf):
 @query("""SELECT lang, lemma_id, last_value(page_num IGNORE NULLS) OVER (PARTITION BY lang ORDER BY lemma_id ROWS UNBOUNDED PRECEDING) AS page FROM (SELECT lang, lemma_id, max(page_num) AS page_num FROM lex_master GROUP BY ALL)""")
 def w3_fill_forward(spark, sf):
     m = table(spark, sf, "lex_master").groupBy("lang", "lemma_id").agg(F.max("page_num").alias("page_num"))
-    return m.select("lang", "lemma_id", windows.fill_forward(c("page_num"), ["lang"], "lemma_id").alias("page"))
+    return windows.fill_forward(m, "page_num", ["lang"], "lemma_id", "page").select("lang", "lemma_id", "page")
 
 
 _RUNS = "(SELECT *, sum(changed) OVER (PARTITION BY lang ORDER BY lemma_id) AS run FROM (SELECT *, CASE WHEN lag(lemma) OVER w IS NOT DISTINCT FROM lemma AND row_number() OVER w > 1 THEN 0 ELSE 1 END AS changed FROM (SELECT lang, lemma_id, max(lemma) AS lemma, max(row_type) AS row_type FROM lex_master GROUP BY ALL) WINDOW w AS (PARTITION BY lang ORDER BY lemma_id)))"
@@ -481,7 +483,8 @@ def w10_promote_first_sense(spark, sf):
 @query("""SELECT lang, lemma_id, last_value(page_num IGNORE NULLS) OVER (PARTITION BY lang ORDER BY lemma_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS page_start, page_num AS page_inside FROM (SELECT lang, lemma_id, max(page_num) AS page_num FROM lex_master GROUP BY ALL)""")
 def w11_w12_page_carry(spark, sf):
     m = table(spark, sf, "lex_master").groupBy("lang", "lemma_id").agg(F.max("page_num").alias("page_num"))
-    return m.select("lang", "lemma_id", windows.previous_filled(c("page_num"), ["lang"], "lemma_id").alias("page_start"), c("page_num").alias("page_inside"))
+    carried = windows.fill_forward(m, "page_num", ["lang"], "lemma_id", "page_start", inclusive=False)
+    return carried.select("lang", "lemma_id", "page_start", c("page_num").alias("page_inside"))
 
 
 # ------------------------------------------------------------------ matching and scoring
@@ -696,3 +699,81 @@ def base_nation_revenue(spark, sf):
     n = table(spark, sf, "nation").select("n_nationkey", "n_name")
     j = li.join(o, c("l_orderkey") == c("o_orderkey")).join(cu, c("o_custkey") == c("c_custkey")).join(F.broadcast(n), c("c_nationkey") == c("n_nationkey"))
     return j.groupBy("n_name").agg(F.round(F.sum(c("l_extendedprice") * (1 - c("l_discount"))), 2).alias("revenue"))
+
+
+# ------------------------------------------------------------------ scripts, markup, corpora: no SQL can say these
+
+
+@query()
+def k5_k13_suffix_match(spark, sf):
+    p = _pairs(spark, sf).where("gloss is not null and gloss_eng is not null")
+    return p.select("parsed_id", "master_id", match.suffix_entry(c("gloss_eng"), c("gloss")).alias("is_suffix"))
+
+
+@query()
+def k6_k9_transliteration_route(spark, sf):
+    p = _pairs(spark, sf).where("gloss is not null and gloss_eng is not null").withColumn("r", transliteration_match.routed(c("gloss_eng"), c("gloss")))
+    return p.select("parsed_id", "master_id", "r.route", "r.score")
+
+
+@query()
+def k19_second_chance(spark, sf):
+    m = table(spark, sf, "lex_master").select("lang", "lemma", "lemma_id")
+    stems = table(spark, sf, "lex_ref_link").where("word_id is null and reflex is not null").select("lex_ref_link_id", F.regexp_replace("reflex", r"[-0-9*]", "").alias("lemma"))
+    open_ = table(spark, sf, "lex_ref_link").where("word_id is null").select("lex_ref_link_id")
+    return corpus.second_chance(open_, stems, m, "lex_ref_link_id").where("lemma_id is not null")
+
+
+@query()
+def x2_x4_scripts(spark, sf):
+    m = table(spark, sf, "lex_master").where("lang = 'Skt.' and lemma is not null")
+    slp = translit.to_slp1("lemma")
+    return m.select("lemma_id", "lemma", translit.roman_to_deva("lemma").alias("native"), slp.alias("one_letter"), translit.to_iast(slp).alias("round_trip"))
+
+
+@query()
+def x8_greek_to_roman(spark, sf):
+    return table(spark, sf, "lex_master").where("lang = 'Gk.' and lemma is not null").select("lemma_id", "lemma", translit.romanize_greek("lemma").alias("roman"))
+
+
+@query()
+def x11_x13_symbols(spark, sf):
+    r = table(spark, sf, "rt_ref_link").select("rt_ref_link_id", F.regexp_replace("rt_shape", "-$", "").alias("shape"))
+    target = translit.target_symbol(c("shape"))
+    return r.select("rt_ref_link_id", target.alias("target"), translit.available(target).alias("modifiers"), translit.modify("shape", lit("macron")).alias("modified"))
+
+
+@query()
+def x14_symbol_families(spark, sf):
+    letters = F.array_distinct(F.filter(F.split("lemma", ""), lambda x: x != ""))
+    fam = table(spark, sf, "lex_master").where("lemma is not null").select("lang", "lemma_id", F.substring("lemma", 1, 1).alias("b"), letters.alias("v"))
+    return translit.merged_families(fam, "b", "v", ["lang", "lemma_id"])
+
+
+@query()
+def m17_m20_entry_html(spark, sf):
+    m = table(spark, sf, "lex_master").where("entry is not null")
+    return m.select("lang", "lemma_id", markup.to_html("oldnorse")("entry").alias("html"))
+
+
+@query()
+def m22_flat_records(spark, sf):
+    m = table(spark, sf, "lex_master").where("entry is not null").select("lang", "lemma_id", "entry")
+    flat = markup.flatten_records(m, "entry", ["lang", "lemma_id"])
+    return flat.select("lang", "lemma_id", "headword", "sense_count", "tr_count", "has_sense", "has_cit")
+
+
+def _tokens(spark, sf):
+    lines = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("seq", "text"))
+    return corpus.tokenize(lines, "doc_id", "seq", "text")
+
+
+@query(r"""SELECT doc_id, count(*) AS n_tokens FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '“”', '  '), '[\p{L}\p{M}\p{N}_]+|[^\s\p{L}\p{M}\p{N}_]')) AS tok FROM documents) GROUP BY 1""")
+def c1_c4_document_tokens(spark, sf):
+    return _tokens(spark, sf).groupBy("doc_id").agg(F.count(lit(1)).alias("n_tokens"))
+
+
+@query()
+def snk6_section_json(spark, sf):
+    t = _tokens(spark, sf).select(c("doc_id").alias("doc"), lit("1").alias("book"), lit(None).cast("string").alias("chapter"), c("seq").cast("string").alias("line_num"), "doc_token_index", "token", "pos")
+    return sinks.section_json(t)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from stemma import schema as S
 from stemma.functions import text
+from stemma.operators import windows
 
 # ------------------------------------------------------------------ delimited files
 
@@ -99,19 +100,16 @@ def read_xml_records(spark: SparkSession, path: str, tag: str, entities: dict[st
     record = F.concat("body", F.lit(f"</{tag}>"))
     for name, value in (entities or {}).items():
         record = F.replace(record, F.lit(f"&{name};"), F.lit(value))
-    # the place grows along the file: rank it there
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("file").orderBy("place")
-    return one.select("file", F.row_number().over(w).alias("seq"), record.alias("record"))
+    # a file may be many blocks: place is block and then order within it
+    placed = one.select("file", F.struct("block", "place").alias("place"), record.alias("record"))
+    return windows.row_number_in(placed, ["file"], "place", "seq").select("file", "seq", "record")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, seq, line) in file order."""
-    from pyspark.sql import Window
-
-    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"), F.col("value").alias("line"))
-    return raw.select("file", F.row_number().over(Window.partitionBy("file").orderBy("place")).alias("seq"), "line")
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), place.alias("place"), F.col("value").alias("line"))
+    return windows.row_number_in(raw, ["file"], "place", "seq").select("file", "seq", "line")
 
 
 def classify_dictionary_lines(lines: DataFrame) -> DataFrame:
@@ -119,17 +117,15 @@ def classify_dictionary_lines(lines: DataFrame) -> DataFrame:
 
     Entry lines open with a bold headword; other text continues the entry before.
     """
-    from pyspark.sql import Window
-
     s = F.trim("line")
     kind = (
         F.when(s == "", "blank").when(s.rlike(r"(?i)^<page num="), "page").when(s.rlike(r"(?i)^<header>"), "header")
         .when(s.rlike(r"(?i)^<letterheader>"), "letter").when(s.rlike(r"(?i)^<b>"), "entry").otherwise("overflow")
     )
-    w = Window.partitionBy("file").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     number = F.nullif(F.regexp_extract("line", r"(?i)<page num=\"?(\d+)", 1), F.lit("")).cast("int")
-    out = lines.withColumn("kind", kind)
-    return out.withColumn("page", F.last(number, True).over(w)).withColumn("entry_no", F.sum((F.col("kind") == "entry").cast("int")).over(w))
+    out = lines.withColumn("kind", kind).withColumn("number", number).withColumn("opens", (F.col("kind") == "entry").cast("int"))
+    out = windows.fill_forward(out, "number", ["file"], "seq", "page")
+    return windows.running_sum(out, "opens", ["file"], "seq", "entry_no").drop("number", "opens")
 
 
 def join_overflow(classified: DataFrame) -> DataFrame:
