@@ -28,6 +28,9 @@ _WORD = re.compile(r"[^\W\d_]+(?:[̀-ͯ]+[^\W\d_]*)*")
 _MARK = re.compile(r"\s*(?:[-•*→–·+]\s+|\(?(?:\d{1,3}|[a-z]{1,4})[.)]\s+)")
 # fixed values: characters that stand inside torn words, delimiters of tables
 _TORN = re.compile(r"[^\W\d_][#|~¦£�§¬^»«0-9$%&@<>=_]+[^\W\d_]|�|[#|~¦£§¬^][^\W\d_]|[^\W\d_][#|~¦£§¬^]|[¦~#£]")
+_ODD = re.compile(r"[#|~¦£�§¬^»«0-9$%&@<>=_]")
+_DIGIT = re.compile(r"\d")
+_CAPITALS = re.compile(r"[^\W\d_a-zß-öø-ÿ]{2}")
 _TABLE = re.compile(r"\t|\S {2,}\S|\.{4,}|-{5,}|={3,}|\S\s*\|\s*\S|^\S+ = \S|\w\",|,\"\w|,,")
 _TAG = re.compile(r"</?\w+[^>]*>|&\w+;")
 _END = (".", "!", "?", ":", ";", "…", ".”", ".\"", ")")
@@ -47,9 +50,12 @@ def _alignment(lines: list[str]) -> float:
         return 0.0
     hit, before = 0, None
     for line in lines:
-        marks = [(m.group()[0], m.start()) for m in _GAP.finditer(line)]
-        kinds = Counter(k for k, _ in marks)
-        if before is not None and marks and before[0]:
+        marks = [(line[m.start()], m.start()) for m in _GAP.finditer(line)]
+        if not marks:
+            before = None
+            continue
+        kinds = Counter([k for k, _ in marks])
+        if before is not None:
             same = sum(1 for x in marks if x in before[1])
             k = kinds.most_common(1)[0]
             if same * 2 > len(marks) or (k[1] > 1 and before[2].get(k[0]) == k[1]) or k[0] in "\t=.":
@@ -98,25 +104,29 @@ def measure(text: str | None, common: frozenset[str]) -> tuple:
         if body not in known:
             m = _MARK.match(line)
             rest = line[m.end() :] if m else body
-            words = _WORD.findall(rest)
-            low = [w.lower() for w in words]
-            hits = sum(1 for w in low if w in common)
-            ups = sum(1 for w in words if len(w) > 1 and w.isupper())
-            singles = sum(1 for w in words if len(w) == 1)
-            k = len(words)
+            lower = rest.lower()
+            low = _WORD.findall(lower)
+            k = len(low)
+            lengths = list(map(len, low))
+            n_letters = sum(lengths)
+            hits = sum(map(common.__contains__, low))
+            ups = sum(1 for w in _WORD.findall(rest) if len(w) > 1 and w.isupper()) if _CAPITALS.search(rest) else 0
+            singles = lengths.count(1)
             tokens = max(len(rest.split()), 1)
-            torn = len(_TORN.findall(rest)) / tokens
-            tag = len(_TAG.findall(rest))
+            torn = len(_TORN.findall(rest)) / tokens if _ODD.search(rest) else 0.0
+            tag = len(_TAG.findall(rest)) if "<" in rest or "&" in rest else 0
             looks = (
                 k >= 3 and hits >= COMMON_SHARE * k and singles < SINGLE_SHARE * k and torn < TORN_SHARE
-                and ups < 0.3 * k and tag * 5 < tokens and len(low) < 12 * len(set(low))
+                and ups < 0.3 * k and tag * 5 < tokens and k < 12 * len(set(low))
             )
-            border = not words and len(set(body)) <= 4 and body[0] in "+|" and len(body) > 4
-            table = border or (bool(_TABLE.search(body)) and singles < SINGLE_SHARE * max(k, 1) + 1)
-            noise = not table and (torn >= TORN_SHARE or tag > 0)
-            noise = noise or singles > SINGLE_SHARE * max(k, 1) + 3 or (k > 10 and (ups >= 0.15 * k or len(low) >= 8 * len(set(low))))
-            noise = noise or (k > 0 and sum(map(len, words)) > 30 * k) or (not words and not border and not any(c.isalnum() for c in body))
-            known[body] = (k, sum(map(len, words)), ups, hits, looks, table, bool(m), torn, noise)
+            table = noise = False
+            if not looks or seen[body] > REPEATED:
+                border = not low and len(set(body)) <= 4 and body[0] in "+|" and len(body) > 4
+                table = border or (bool(_TABLE.search(body)) and singles < SINGLE_SHARE * max(k, 1) + 1)
+                noise = not table and (torn >= TORN_SHARE or tag > 0)
+                noise = noise or singles > SINGLE_SHARE * max(k, 1) + 3 or (k > 10 and (ups >= 0.15 * k or k >= 8 * len(set(low))))
+                noise = noise or (k > 0 and n_letters > 30 * k) or (not low and not border and not any(map(str.isalnum, body)))
+            known[body] = (k, n_letters, ups, hits, looks, table, bool(m), torn, noise)
         k, ls, ups, hits, looks, table, mark, torn, noise = known[body]
         words_all += k
         letters += ls
@@ -137,11 +147,11 @@ def measure(text: str | None, common: frozenset[str]) -> tuple:
             listed += n
         follows = is_prose and not body.endswith((".", "!", "?"))
     # ruled lines between rows are no rows
-    alignment, period = _alignment([x for x in lines if any(c.isalnum() for c in x)]), _periodicity(lines)
+    alignment, period = _alignment([x for x in lines if any(map(str.isalnum, x))]), _periodicity(lines)
     auto = _autocorrelation([len(x) for x in lines])
     compact = "".join(text.split())
-    symbols = sum(1 for c in compact if not c.isalnum())
-    digits = sum(1 for c in compact if c.isdigit())
+    symbols = len(compact) - sum(map(str.isalnum, compact))
+    digits = sum(map(str.isdigit, compact)) if _DIGIT.search(compact) else 0
     stops = len(re.findall(r"[.!?](?=\s|$|[\"'”)])", text))
     per_sentence = words_all / max(stops, 1)
     ratio = prose / chars
