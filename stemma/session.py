@@ -4,11 +4,32 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="stemma-package-")) / "stemma.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(target))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -33,3 +54,9 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, most_rows: int = 200_000) -> DataFrame:
+    """``df``, written once and marked for broadcast if it is counted to have at most ``most_rows``."""
+    kept = cut(df)
+    return F.broadcast(kept) if kept.limit(most_rows + 1).count() <= most_rows else kept
