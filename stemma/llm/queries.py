@@ -100,7 +100,7 @@ def _cut_candidates(spark: SparkSession, sf: str) -> DataFrame:
         master.select(F.lit("reflex").alias("field"), F.col("lang").alias("source_key"), F.col("lemma_id").alias("row_id"), F.col("reflex").alias("value"), F.col("orthography").alias("ref")),
         roots.select(F.lit("rt_gloss_eng").alias("field"), F.col("ref_id").alias("source_key"), F.col("rt_ref_link_id").alias("row_id"), F.col("rt_gloss_eng").alias("value"), F.lit(None).cast("string").alias("ref")),
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def p4_scored(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,7 +116,8 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 def p4_rates(spark: SparkSession, sf: str) -> DataFrame:
     """How often each source truncates."""
     cut_ = F.col("probability") > 0.5
-    return p4_scored(spark, sf).groupBy("field_name", "source_key").agg(
+    once = p4_scored(spark, sf).groupBy("field_name", "source_key", "row_id").agg(F.max("probability").alias("probability"))
+    return once.groupBy("field_name", "source_key").agg(
         F.count(F.lit(1)).alias("n_values"), F.count_if(cut_).alias("n_cut"), F.avg(cut_.cast("double")).alias("cut_rate")
     )
 

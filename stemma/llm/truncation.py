@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stemma.session import broadcast_if_small, cut
+
 DIM = 1 << 16
 SEPARATORS = ";,|·\n\t"
 _ITEM = re.compile(r"[;,|·\n\t]|\s/\s|(?<=[.])\s")
@@ -179,7 +181,7 @@ def examples(values: DataFrame, ref_kinds: dict[str, str], max_train: int) -> Da
     def standing(field: pd.Series, v: pd.Series, ref: pd.Series) -> pd.Series:
         return pd.Series([compare(b, c, ref_kinds.get(a, "item")) for a, b, c in zip(field, v, ref)], dtype="object")
 
-    picked = picked.withColumn("cmp", standing("field", "value", "ref")).where("cmp = 'whole' or field = 'rt_gloss_eng'")
+    picked = cut(picked.withColumn("cmp", standing("field", "value", "ref")).where("cmp = 'whole' or field = 'rt_gloss_eng'"))
     keep = [F.col("field"), F.col("source_key"), F.col("ref")]
     at_random = lambda salt, p: F.pmod(F.xxhash64("value", F.lit(salt)), F.lit(100)) < p
     masked = lambda salt: F.when(F.pmod(F.xxhash64("value", F.lit(salt)), F.lit(100)) < 45, F.col("ref")).alias("ref")
@@ -257,9 +259,10 @@ def train(values: DataFrame, vocab: DataFrame, ref_kinds: dict[str, str], max_tr
 def prepare(values: DataFrame) -> DataFrame:
     """Drop blank values and tell which stand at the limit of their source."""
     values = values.where(F.length(F.trim("value")) > 0)
+    values = cut(values)
     lim = limits(values)
     at = (F.length("value") == F.col("__chars")) | (F.octet_length("value").between(F.col("__bytes") - 1, F.col("__bytes")))
-    lim = lim.toDF("__field", "__source", "__chars", "__bytes")
+    lim = broadcast_if_small(lim).toDF("__field", "__source", "__chars", "__bytes")
     joined = values.join(lim, (F.col("field") == F.col("__field")) & F.col("source_key").eqNullSafe(F.col("__source")), "left")
     return joined.withColumn("at_limit", F.coalesce(at, F.lit(False))).drop("__field", "__source", "__chars", "__bytes")
 
@@ -267,7 +270,7 @@ def prepare(values: DataFrame) -> DataFrame:
 def score(values: DataFrame, ref_kinds: dict[str, str], max_train: int = 6_400) -> tuple[DataFrame, float]:
     """Add ``probability`` that the value was cut.  values: field, source_key, value, ref and others."""
     ready = prepare(values)
-    vocab = vocabulary(ready)
+    vocab = broadcast_if_small(vocabulary(ready))
     weights, held_out = train(ready, vocab, ref_kinds, max_train)
     small = weights.astype("float32")
     udf = _feature_udf(ref_kinds)
