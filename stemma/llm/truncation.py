@@ -31,6 +31,8 @@ from stemma.session import broadcast_if_small, cut
 DIM = 1 << 16
 SEPARATORS = ";,|·\n\t"
 _ITEM = re.compile(r"[;,|·\n\t]|\s/\s|(?<=[.])\s")
+_PAIRED = re.compile(r"[()\[\]\"“”‘’«»']")
+_BREAK = re.compile(r"[;,|·\n\t]|[./](?=[ \xa0])")
 _TAIL_WORD = re.compile(r"[^\s,;|·/()\[\]\"“”‘’«»]+$")
 _CLOSED = re.compile(r"(?:…|\.\.\.|\betc\.?)\s*$")
 TAIL_WORD_SQL = r"([^\s\u00a0,;|·/()\[\]\"“”‘’«»]+)\s*$"
@@ -38,7 +40,13 @@ TAIL_WORD_SQL = r"([^\s\u00a0,;|·/()\[\]\"“”‘’«»]+)\s*$"
 
 def last_item(v: str) -> str:
     """What follows the last separator outside brackets and double quotes."""
+    n = len(v.rstrip())
     depth, quote, start = 0, False, 0
+    if not _PAIRED.search(v):
+        for m in _BREAK.finditer(v, 0, n):
+            if m.end() < n:
+                start = m.end()
+        return v[start:]
     for i, c in enumerate(v):
         if c in "([":
             depth += 1
@@ -47,12 +55,14 @@ def last_item(v: str) -> str:
         elif c in "\"“”«»":
             quote = not quote
         elif not quote and not depth and (c in SEPARATORS or (c in "./" and v[i + 1 : i + 2] in (" ", "\xa0"))):
-            if v[i + 1 :].strip():
+            if i + 1 < n:
                 start = i + 1
     return v[start:]
 
 
 def _open(v: str) -> tuple[bool, bool]:
+    if not _PAIRED.search(v):
+        return False, False
     bracket = re.sub(r"(?:^|\s)\d{1,3}\)", " ", v)
     b = bracket.count("(") > bracket.count(")") or bracket.count("[") > bracket.count("]")
     q = v.count('"') % 2 == 1 or v.count("“") > v.count("”") or v.count("«") > v.count("»") or v.count("‘") > v.count("’")
@@ -272,13 +282,17 @@ def score(values: DataFrame, ref_kinds: dict[str, str], max_train: int = 6_400)
     ready = prepare(values)
     vocab = broadcast_if_small(vocabulary(ready))
     weights, held_out = train(ready, vocab, ref_kinds, max_train)
-    small = weights.astype("float32")
-    udf = _feature_udf(ref_kinds)
+    table = weights.tolist()
 
-    @F.pandas_udf("double")
-    def probability(x: pd.Series) -> pd.Series:
-        z = np.array([float(small[np.asarray(r)].sum()) for r in x])
-        return pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+    def rows(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for field, v, ref, at, known in batches:
+            z = [
+                sum([table[i] for i in features(a, b, None if c is None or c != c else c, ref_kinds.get(a, "item"), bool(d), int(e))])
+                for a, b, c, d, e in zip(field, v, ref, at, known)
+            ]
+            yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(z, dtype=float), -30, 30))))
 
-    scored = _with_known(ready, vocab).withColumn("probability", probability(udf("field", "value", "ref", "at_limit", "known")))
+    rows.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.Series]}
+    probability = F.pandas_udf(rows, "double")
+    scored = _with_known(ready, vocab).withColumn("probability", probability("field", "value", "ref", "at_limit", "known"))
     return scored, held_out

@@ -10,6 +10,7 @@ def test_compare():
     assert T.compare("a, q", "x, vb. a; bc", "item") == "none" and T.compare("a", None, "item") == "none"
     assert T.compare("ab", "ab, cd", "prefix") == "whole" and T.compare("ab, c", "ab, cd", "prefix") == "more" and T.compare("ab, ", "ab, cd", "prefix") == "more"
     assert T.compare("ab", "ab = cd", "prefix") == "whole" and T.compare("x", "ab", "prefix") == "none"
+    assert len(T.last_item("a; " * 300_000)) == 4 and T.last_item("(x; " * 100_000)[:1] == "("
     assert T.last_item("a; b (c; d") == " b (c; d" and T.last_item("") == "" and T.last_item("a;") == "a;"
 
 
