@@ -22,9 +22,10 @@ from __future__ import annotations
 
 import sys
 import unicodedata as ud
+from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -67,8 +68,8 @@ _GREEK_ONLY = r"(?=[Ͱ-Ͽἀ-῿])[^" + NO_PROOF_OF_GREEK + "αρικχγϳΑΒ
 _LATIN_ONLY = r"(?i)[bcdefghjlmqrstzæœøðþ]"
 
 
-def code_point_table(spark: SparkSession) -> DataFrame:
-    """(alphabet, ch, rep): fixed by the Unicode tables and the twins above, so its size is bounded."""
+@lru_cache(maxsize=1)
+def _code_points() -> list[tuple[str, str, str]]:
     rows = []
     both: dict[str, str] = {}
     for cp in range(0x80, min(sys.maxunicode, 0x2FFFF) + 1):
@@ -96,7 +97,12 @@ def code_point_table(spark: SparkSession) -> DataFrame:
         own = {c: plain(d) if not 0xFF00 < ord(c) < 0xFF5F else d for c, d in both.items()}
         own |= {c: ud.normalize("NFD", t) for c, t in twins.items()}
         rows += [(alphabet, c, d) for c, d in own.items() if d != c]
-    return spark.createDataFrame(pd.DataFrame(rows, columns=["alphabet", "ch", "rep"]))
+    return rows
+
+
+def code_point_table(spark: SparkSession) -> DataFrame:
+    """(alphabet, ch, rep): fixed by the Unicode tables and the twins above, so its size is bounded."""
+    return spark.createDataFrame(pd.DataFrame(_code_points(), columns=["alphabet", "ch", "rep"]))
 
 
 def mark_table(spark: SparkSession) -> DataFrame:
@@ -129,8 +135,6 @@ def standard_forms(values: DataFrame) -> DataFrame:
     chars = chars.join(F.broadcast(code_point_table(spark)), ["alphabet", "ch"], "left").withColumn("rep", F.coalesce("rep", "ch"))
     points = chars.select("v", "alphabet", "pos", F.posexplode(F.split("rep", "")).alias("sub", "m")).where("m <> ''")
     points = points.join(F.broadcast(mark_table(spark)), "m", "left").withColumn("ccc", F.coalesce("ccc", F.lit(0)))
-    from pyspark.sql import Window
-
     w = Window.partitionBy("v", "alphabet").orderBy("pos", "sub")
     points = points.withColumn("cluster", F.sum((F.col("ccc") == 0).cast("int")).over(w))
     parts = points.groupBy("v", "alphabet", "cluster").agg(F.array_sort(F.collect_list(F.struct("ccc", "pos", "sub", "m"))).alias("p"))
