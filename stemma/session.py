@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -15,13 +16,21 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors' Python workers this package, once per application."""
+    """Give the Python workers this package, once per application.
+
+    The archive lies in the shared folder; where that is no plain path the package is taken to be
+    installed on the executors.
+    """
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
     _SHIPPED.add(sc.applicationId)
+    folder = shared_folder(spark)
+    if "://" in folder.removeprefix("file://") or (":" in folder and not folder.startswith("file:")):
+        return
     root = Path(__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="stemma-package-")) / "stemma.zip"
+    target = Path(re.sub("^file:/*", "/", folder)) / f"package-{uuid.uuid4().hex}" / "stemma.zip"
+    target.parent.mkdir(parents=True)
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
         for f in sorted(root.rglob("*.py")):
             z.write(f, f.relative_to(root.parent))
