@@ -1,7 +1,7 @@
 """Text cut off by field limits or in transfer, found by a model trained on artificial cuts.
 
-1. The length limit of every source is read from all values: the largest length (in characters
-   or bytes) at which values pile up.
+1. The length limit of every source is read from all values: the longest length (in characters
+   or bytes, a closing replacement character left out) at which values pile up.
 2. Intact values (closed by their reference text or by punctuation) are cut at hashed positions; a
    cut inside a word, phrase, bracket or list is a positive, one that leaves out whole last items a
    negative.
@@ -134,23 +134,38 @@ def _feature_udf(ref_kinds: dict[str, str]):
     return F.pandas_udf(rows, "array<int>")
 
 
+def _untorn(value: str) -> Column:
+    """The value without a closing replacement character, which is longer than the torn bytes it stands for."""
+    return F.regexp_replace(value, "\ufffd+$", "")
+
+
 def limits(values: DataFrame) -> DataFrame:
-    """(field, source_key, max_chars, max_bytes): largest lengths where values pile up, else null."""
-    spark_lengths = values.select("field", "source_key", F.length("value").alias("chars"), F.octet_length("value").alias("bytes"))
+    """(field, source_key, max_chars, max_bytes): the longest length where values pile up, else null.
+
+    A few values may lie above a limit, if its pile stands out from the neighbouring lengths.  In bytes only
+    values with longer characters tell: the others pile up at a limit in characters just as well.
+    """
+    lengths = values.select("field", "source_key", F.length(_untorn("value")).alias("chars"), F.octet_length(_untorn("value")).alias("bytes"))
+    source = Window.partitionBy("field", "source_key")
+    longer = source.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    near = source.orderBy("n").rangeBetween(-3, 3)
     out = None
     for unit in ("chars", "bytes"):
-        hist = spark_lengths.groupBy("field", "source_key", F.col(unit).alias("n")).agg(F.count(F.lit(1)).alias("c"))
-        top = hist.groupBy("field", "source_key").agg(F.max(F.struct("n", "c")).alias("top"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("lengths"))
+        own = F.lit(True) if unit == "chars" else F.col("bytes") > F.col("chars")
+        hist = lengths.groupBy("field", "source_key", F.col(unit).alias("n")).agg(F.count(F.lit(1)).alias("c"), F.count_if(own).alias("own"))
+        hist = hist.select("*", F.sum("c").over(source).alias("all"), F.count(F.lit(1)).over(source).alias("lengths"), F.coalesce(F.sum("c").over(longer), F.lit(0)).alias("above"), (F.sum("c").over(near) - F.col("c")).alias("near"))
+        few_above = (F.col("above") == 0) | ((F.col("above") * 10 <= F.col("own")) & (F.col("c") * 3 >= F.col("near") * 2))
         # the end of an unlimited distribution holds single values; a limit holds a pile
-        pile = (F.col("top.c") >= 4) & (F.col("top.c") * F.col("lengths") >= 1.5 * F.col("all") * F.least(F.lit(1.0), 4.0 * F.col("top.c") / F.col("all") + 0.2))
+        pile = few_above & (F.col("c") >= 4) & (F.col("c") * F.col("lengths") >= 1.5 * F.col("all") * F.least(F.lit(1.0), 4.0 * F.col("c") / F.col("all") + 0.2))
+        hist = hist.withColumn("pile", F.coalesce(pile, F.lit(False)))
         # sources whose longest values share one length with piles elsewhere have the same field limit
-        top = top.withColumn("pile", F.coalesce(pile, F.lit(False))).withColumn("n", F.col("top.n"))
-        shared = top.where("pile").groupBy("field", "n").agg(F.count(F.lit(1)).alias("piles")).where("piles >= 2")
-        top = top.join(shared, ["field", "n"], "left")
-        limited = F.col("pile") | (F.col("piles").isNotNull() & (F.col("top.c") >= 2))
-        got = top.select("field", "source_key", F.when(limited, F.col("n")).alias(f"max_{unit}"))
-        out = got if out is None else out.join(got, ["field", "source_key"])
-    return out
+        longest = hist.where("pile").groupBy("field", "source_key").agg(F.max("n").alias("n"))
+        shared = longest.groupBy("field", "n").agg(F.count(F.lit(1)).alias("piles")).where("piles >= 2")
+        limited = F.col("pile") | (F.col("piles").isNotNull() & few_above & (F.col("c") >= 2))
+        got = hist.join(shared, ["field", "n"], "left").groupBy("field", "source_key").agg(F.max(F.when(limited, F.col("n"))).alias(f"max_{unit}"))
+        out = got if out is None else out.unionByName(got, allowMissingColumns=True)
+    # unlike a join, grouping keeps the source that is null
+    return out.groupBy("field", "source_key").agg(F.max("max_chars").alias("max_chars"), F.max("max_bytes").alias("max_bytes"))
 
 
 def vocabulary(values: DataFrame) -> DataFrame:
@@ -269,7 +284,7 @@ def prepare(values: DataFrame) -> DataFrame:
     values = values.where(F.length(F.trim("value")) > 0)
     values = cut(values)
     lim = limits(values)
-    at = (F.length("value") == F.col("__chars")) | (F.octet_length("value").between(F.col("__bytes") - 1, F.col("__bytes")))
+    at = F.col("__chars").isin(F.length("value"), F.length(_untorn("value"))) | F.octet_length(_untorn("value")).between(F.col("__bytes") - 1, F.col("__bytes"))
     lim = broadcast_if_small(lim).toDF("__field", "__source", "__chars", "__bytes")
     joined = values.join(lim, (F.col("field") == F.col("__field")) & F.col("source_key").eqNullSafe(F.col("__source")), "left")
     return joined.withColumn("at_limit", F.coalesce(at, F.lit(False))).drop("__field", "__source", "__chars", "__bytes")

@@ -39,3 +39,18 @@ def test_without_training_rows(spark):
     df = spark.createDataFrame([("gloss", "S", 1, "a (b", None)], "field string, source_key string, row_id int, value string, ref string")
     assert T.score(df, KINDS)[0].count() == 1
     assert T.score(df.limit(0), KINDS)[0].count() == 0
+
+
+def test_limits_below_stragglers(spark):
+    rnd = random.Random(3)
+    rows = [(s, "x" * rnd.randint(5, 50)) for s in ("bytes", "torn", "chars", None) for _ in range(300)]
+    # cut at 60 bytes, with and without longer characters; torn characters are stored as three bytes
+    rows += [(s, "y" * (60 - 2 * k) + "é" * k) for s in ("bytes", "torn", None) for k in (0, 1, 2, 3) for _ in range(8)]
+    rows += [("torn", "y" * 60 + "�")] * 5 + [("bytes", "z" * 63), ("bytes", "z" * 64)]
+    # cut at 60 characters: values of 60 bytes are those without longer characters
+    rows += [("chars", "y" * (60 - k) + "é" * k) for k in (0, 0, 0, 0, 0, 0, 0, 1) for _ in range(5)] + [("chars", "z" * 70)]
+    df = spark.createDataFrame([("gloss", s, v, None) for s, v in rows], "field string, source_key string, value string, ref string")
+    got = {r.source_key: (r.max_chars, r.max_bytes) for r in T.limits(df).collect()}
+    assert got["bytes"][1] == 60 and got["torn"][1] == 60 and got[None][1] == 60 and got["chars"] == (60, None)
+    at = T.prepare(df).where("at_limit and (octet_length(value) >= 59)").groupBy("source_key").count()
+    assert {r.source_key: r["count"] for r in at.collect()} == {"bytes": 32, "torn": 37, None: 32, "chars": 40}
