@@ -607,6 +607,12 @@ def t10_punctuation_spacing(spark, sf):
     return table(spark, sf, "documents").where(~c("text").rlike("[,;:][,;:]")).select("doc_id", text.punctuation_spacing(c("text")).alias("spaced"))
 
 
+# the SQL replacement takes the letter after a separator with it, so separators in a row need it twice
+@query(r"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\s+([,.;:!?\)\]])', '\1', 'g'), '([\(\[])\s+', '\1', 'g'), '([,;:])([^\s\d\)\]])', '\1 \2', 'g'), '([,;:])([^\s\d\)\]])', '\1 \2', 'g'), '\s+', ' ', 'g')) AS spaced FROM documents""")
+def t10_punctuation_spacing_all(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", text.punctuation_spacing(c("text")).alias("spaced"))
+
+
 @query("""SELECT lang, lemma_id, repeat('(', greatest(len(g) - len(replace(g, ')', '')) - (len(g) - len(replace(g, '(', ''))), 0)) || g || repeat(')', greatest(len(g) - len(replace(g, '(', '')) - (len(g) - len(replace(g, ')', ''))), 0)) AS balanced
 FROM (SELECT lang, lemma_id, trim(gloss, ' ,;:') AS g FROM lex_master WHERE gloss IS NOT NULL AND gloss NOT LIKE '%[%' AND gloss NOT LIKE '%]%')""")
 def t11_balanced_brackets(spark, sf):
@@ -614,6 +620,13 @@ def t11_balanced_brackets(spark, sf):
     return m.select("lang", "lemma_id", text.balanced(c("gloss")).alias("balanced"))
 
 
+@query("""SELECT lang, lemma_id, repeat('[', greatest(len(g) - len(replace(g, ']', '')) - (len(g) - len(replace(g, '[', ''))), 0)) || g || repeat(']', greatest(len(g) - len(replace(g, '[', '')) - (len(g) - len(replace(g, ']', ''))), 0)) AS balanced
+FROM (SELECT lang, lemma_id, repeat('(', greatest(len(g) - len(replace(g, ')', '')) - (len(g) - len(replace(g, '(', ''))), 0)) || g || repeat(')', greatest(len(g) - len(replace(g, '(', '')) - (len(g) - len(replace(g, ')', ''))), 0)) AS g
+FROM (SELECT lang, lemma_id, trim(gloss, ' ,;:') AS g FROM lex_master WHERE gloss IS NOT NULL))""")
+def t11_balanced_brackets_all(spark, sf):
+    return table(spark, sf, "lex_master").where("gloss is not null").select("lang", "lemma_id", text.balanced(c("gloss")).alias("balanced"))
+
+
 @query(r"""SELECT lex_ref_link_id, regexp_replace(reflex, '\d+$', '') AS form, TRY_CAST(nullif(regexp_extract(reflex, '(\d+)$', 1), '') AS INT) AS number FROM lex_ref_link""")
 def t12_homonym_number(spark, sf):
     form, number = text.homonym(c("reflex"))
