@@ -142,12 +142,22 @@ def j5_composite_expression_key(spark, sf):
 @query("""SELECT DISTINCT m.lang, m.lemma_id, s.lemma_id AS other_id FROM lex_master m JOIN lex_master s
 ON m.lang = s.lang AND (m.orthography = s.lemma OR starts_with(m.orthography, s.lemma || ',')) WHERE m.lang IN ('Goth.','Arm.','OIr.') AND s.lemma <> ''""")
 def j5_j6_or_prefix_join(spark, sf):
-    few = c("lang").isin("Goth.", "Arm.", "OIr.")
-    m = table(spark, sf, "lex_master").where(few).select("lang", "lemma_id", "orthography")
-    s = table(spark, sf, "lex_master").where(few & (c("lemma") != "")).select("lang", c("lemma_id").alias("other_id"), c("lemma").alias("other"))
+    return _or_prefix(table(spark, sf, "lex_master").where(c("lang").isin("Goth.", "Arm.", "OIr.")))
+
+
+def _or_prefix(rows):
+    m = rows.select("lang", "lemma_id", "orthography")
+    s = rows.where(c("lemma") != "").select("lang", c("lemma_id").alias("other_id"), c("lemma").alias("other"))
     return match.equal_or_listed(m, s, "orthography", "other", ["lang"]).select("lang", "lemma_id", "other_id").distinct()
 
 
+@query("""SELECT DISTINCT m.lang, m.lemma_id, s.lemma_id AS other_id FROM (SELECT lang, lemma_id, unnest(list_append(
+[left(orthography, i - 1) FOR i IN range(1, length(orthography) + 1) IF substring(orthography, i, 1) = ','], orthography)) AS k FROM lex_master WHERE orthography IS NOT NULL) m
+JOIN lex_master s ON m.lang = s.lang AND m.k = s.lemma WHERE s.lemma <> ''""")
+def j5_j6_or_prefix_join_all(spark, sf):
+    return _or_prefix(table(spark, sf, "lex_master"))
+
+
 @query(r"""SELECT DISTINCT d.doc_id, s.abbrev_id FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+')) AS w FROM documents) d
 JOIN lang_abbrev_master s ON d.w = lower(s.full_language_name)""")
 def j7_word_containment(spark, sf):
@@ -384,10 +394,18 @@ def o1_o2_order_limit_offset(spark, sf):
 
 @query("""SELECT sense_id, row_number() OVER (ORDER BY TRY_CAST(sense_num AS DOUBLE) IS NULL, TRY_CAST(sense_num AS DOUBLE), sense_num, sense_id, h_number, last_updated) AS place FROM lex_senses WHERE lang = 'Goth.' AND sense_num IS NOT NULL""")
 def o5_numeric_else_text_order(spark, sf):
+    return _numeric_else_text(table(spark, sf, "lex_senses").where("lang = 'Goth.'"))
+
+
+def _numeric_else_text(senses):
     n = c("sense_num").try_cast("double")
     order = [n.isNull(), n, c("sense_num"), c("sense_id"), c("h_number"), c("last_updated")]
-    s = table(spark, sf, "lex_senses").where("lang = 'Goth.' and sense_num is not null")
-    return windows.global_row_number(s, order, "place").select("sense_id", "place")
+    return windows.global_row_number(senses.where("sense_num is not null"), order, "place").select("sense_id", "place")
+
+
+@query("""SELECT sense_id, row_number() OVER (ORDER BY TRY_CAST(sense_num AS DOUBLE) IS NULL, TRY_CAST(sense_num AS DOUBLE), sense_num, sense_id, h_number, last_updated) AS place FROM lex_senses WHERE sense_num IS NOT NULL""")
+def o5_numeric_else_text_order_all(spark, sf):
+    return _numeric_else_text(table(spark, sf, "lex_senses"))
 
 
 @query("""SELECT lang, lemma_id AS id FROM lex_master UNION ALL SELECT lang, sense_id FROM lex_senses""")
