@@ -38,8 +38,10 @@ _NUMBER_INSIDE = re.compile(r"\s+\d{1,3}[.)]\s+")
 _SLASH = re.compile(r"\s+/\s+")
 _PLAIN = re.compile(r"[^;,|·\n\t\r\"“„‘«(\[{\s]+")
 _QUOTED = {o: re.compile(f"{re.escape(o)}(?:{re.escape(c)}{re.escape(c)}|[^{re.escape(c)}])*+{re.escape(c)}") for o, c in QUOTES.items()}
+# the blanks that the patterns above take, which are more than Java's \s
+_JAVA_BLANK = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 #: Values with none of these hold one item at most.
-HINT = "[;,|·\\n\\t\\r]|\\s/\\s|\\d[.)]\\s"
+HINT = rf"[;,|·\n\t\r]|{_JAVA_BLANK}/{_JAVA_BLANK}|\p{{Nd}}[.)]{_JAVA_BLANK}"
 
 
 def _bracketed(s: str, i: int) -> int:

@@ -46,3 +46,12 @@ def test_rows(spark):
     assert got == [(1, 1, "a", ""), (1, 2, "b", ""), (3, 1, "one", ""), (4, 1, "x; y", "")]
     assert packed.split_packed(df, "v", ["id"], 2).count() == 2
     assert packed.split_packed(df.limit(0), "v", ["id"]).count() == 0
+
+
+def test_hint_takes_every_blank_of_the_grammar(spark):
+    blanks = [c for c in map(chr, range(0x3100)) if c.isspace()]
+    values = [f"a{b}/{b}b" for b in blanks] + [f"1.{b}x{b}2.{b}y" for b in blanks] + ["1. x ٢. y"]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v string")
+    want = {(i, p, x) for i, v in enumerate(values) if len(packed.parse(v)[0]) >= 2 for p, x in enumerate(packed.parse(v)[0], 1)}
+    assert len(want) >= 2 * len(values) - 8
+    assert {(r.id, r.item_pos, r.item) for r in packed.split_packed(df, "v", ["id"], 2).collect()} == want
