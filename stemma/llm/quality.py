@@ -1,11 +1,13 @@
 """Per-document text statistics, and running prose told from lists, tables and junk.
 
 Every line is weighed by its characters.  A line is prose when, its list mark taken off, it has words
-of which a fair share are common words of some language, few torn or single letters, no table
-delimiters and is not repeated over and over; the short last line of a paragraph follows the line
-before.  Tables show by vertical alignment of delimiters in neighbouring lines, lists by the period of
-indentation and marks and by short lines of like length (autocorrelation of line lengths); what is
-neither and not prose is junk.  A document is prose if most of its characters are.
+of which a fair share are common words of some language, few torn or single letters and is not
+repeated over and over; the short last line of a paragraph follows the line before.  A document is
+prose if most of its characters are; of words of digits only if delimiters align too.  Of the others
+tables show by delimiters within lines and by their vertical alignment in neighbouring lines, lists by
+the period of indentation and marks; what is neither is junk.  Alignment and period otherwise take no
+part in the decision on prose, table delimiters are looked for only in lines that are not prose, and
+the autocorrelation of line lengths is reported but decides nothing.
 
 Defined results: null and blank texts have zero words, null ratios and kind ``empty``; whole texts are
 read; repeated documents get the same row each; rows and their other columns do not affect each other.
