@@ -3,7 +3,7 @@
 Items larger than a container are cut into full pieces and a rest; nothing else is split.  Only the
 histogram of lengths, which has at most ``capacity`` bins, reaches the driver.  There, shallow length
 combinations that fill the window exactly are enumerated (one length repeated and a second, or three
-lengths), non-negative least squares fits their repeat counts to the histogram, the counts are rounded,
+lengths, these thinned evenly beyond ``MAX_PATTERNS``), non-negative least squares fits their repeat counts to the histogram, the counts are rounded,
 and what is left over is packed greedily, always the longest length that still fits.  The plan is a short
 table of ranges: the items of one length with ranks from a to b go to these containers at this offset.
 Ranks come from salted row numbers with prefix sums, so no length gathers in one task.
