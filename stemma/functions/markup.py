@@ -150,9 +150,38 @@ def write_html(e: ET.Element, rules: Rules, base_indent: int = 1) -> str:
     return "".join(out)
 
 
-# fixed values: delimiters of definitions and senses
-_DEFINITION = re.compile(r"[IVX]+\)")
-_SENSE = re.compile(r"(?:[AB]\.(?= with )|I?I?[IV]\.|1?[0-9]\))(?= )")
+def _romans(n: int) -> list[str]:
+    """The first ``n`` roman numbers, below 40."""
+    ones = ("", "I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX")
+    return ["X" * (i // 10) + ones[i % 10] for i in range(1, n + 1)]
+
+
+@dataclass(frozen=True)
+class Label:
+    """One kind of label: its values in order, the mark that closes it, the word that has to follow."""
+
+    values: tuple[str, ...]
+    close: str
+    follows: str = ""
+
+
+# fixed values: how far the numbering of definitions and senses goes
+DEFINITION_LABELS = (Label(tuple(_romans(39)), ")"),)
+SENSE_LABELS = (
+    Label(tuple(_romans(5)), "."),
+    Label(tuple(str(i) for i in range(20)), ")"),
+    Label(("A", "B"), ".", "with"),
+)
+
+
+def read_label(text: str, grammar: tuple[Label, ...]) -> tuple[str, str] | None:
+    """(label, rest) of a text that opens with a label and a blank or with nothing but a label."""
+    head, _, rest = text.partition(" ")
+    for kind in grammar:
+        value = head.removesuffix(kind.close)
+        if value != head and value in kind.values and (not kind.follows or rest.startswith(kind.follows + " ")):
+            return value, rest.lstrip()
+    return None
 
 
 def split_definitions(entry: ET.Element) -> list[list[ET.Element]]:
@@ -160,7 +189,7 @@ def split_definitions(entry: ET.Element) -> list[list[ET.Element]]:
     starts = []
     for i, x in enumerate(entry):
         b = x.find("b") if x.tag == "m1" else None
-        if b is not None and _DEFINITION.match(inner_text(b).strip()):
+        if b is not None and read_label(inner_text(b).strip(), DEFINITION_LABELS):
             starts.append(i)
     kids = list(entry)
     if len(starts) < 2:
@@ -172,10 +201,10 @@ def split_senses(kids: list[ET.Element]) -> list[tuple[str, int, list[ET.Element
     """(label, level, children) in order; the part before the first delimiter has an empty label."""
     out: list[tuple[str, int, list[ET.Element]]] = []
     for x in kids:
-        m = _SENSE.match(x.text or "") if re.fullmatch("m[1-5]", x.tag) else None
-        if m:
-            x.text = x.text[m.end() :].lstrip()
-            out.append((m[0].rstrip(".)"), int(x.tag[1]), [x]))
+        opened = read_label(x.text or "", SENSE_LABELS) if x.tag in RULES["oldnorse"].indent and " " in (x.text or "") else None
+        if opened:
+            label, x.text = opened
+            out.append((label, int(x.tag[1]), [x]))
         elif out:
             out[-1][2].append(x)
         else:

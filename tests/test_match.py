@@ -31,14 +31,21 @@ def test_status_and_decisions(spark):
     assert [r.t for r in match.substitute_ids(s, "t", ids, "a", "b").collect()] == ["see 77 x", "none", None]
 
 
-def test_entries():
-    assert TM.route("ab cd", "1. ab cd ef") == ("approved", None)
-    good, bad = "devá (देव) god", "devA (देव्A) god"
-    assert TM.route(good, good + " more")[0] == "approved"
-    assert TM.route("a", None) == ("unmatched", None) and TM.route("", "x")[0] == "approved"
-    assert TM.route("abcdefghij", "abcdefghiX")[0] == "approved" and TM.route("abc", "xyz")[0] == "unmatched"
-    assert TM.similarity("", "") == 100.0 and round(TM.similarity("kitten", "sitting"), 2) == 57.14
-    assert TM.route(bad, good)[0] in ("approved", "unmatched", "approximate", "discrepant")
+def test_entries(spark):
+    good, bad = "devá (देव) god", "de (देव)vA god"
+    cases = [
+        ("ab  cd", "1. ab cd ef", "approved"), ("1. ab", "1. ab", "approved"), ("a", None, "unmatched"), (None, "a", "unmatched"), ("", "x", "approved"), ("", "", "approved"),
+        (good, good + " more", "approved"), ("abcdefghij", "abcdefghiX", "approved"), ("abc", "xyz", "unmatched"), (good, "god", "discrepant"),
+        ("the " + good, "the devā (देवा) god", "approximate"), ("devá (देव)", "dev\u0301a (देव)", "approved"),
+    ]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(cases)], "i int, a string, b string")
+    got = {r.i: r for r in df.select("i", TM.routed(F.col("a"), F.col("b")).alias("r")).select("i", "r.*").collect()}
+    assert [got[i].route for i in range(len(cases))] == [x for _, _, x in cases]
+    assert got[0].score is None and got[2].score is None and round(got[7].score, 4) == 90.0
+    assert [bad[p.begin : p.word_end] + "|" + p.slipped for p in TM.pairs_of(bad)] == ["de|vA"]
+    assert TM.pairs_of("") == [] and [p.begin for p in TM.pairs_of("no (brackets) here (देव) (देव)")] == [14]
+    long = "x " * 20_000 + good
+    assert len(TM.pairs_of(long)) == 1
 
 
 def test_merge(spark):
