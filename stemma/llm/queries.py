@@ -201,24 +201,23 @@ def _token_counts(spark: SparkSession, sf: str) -> DataFrame:
 def p8_packed(spark: SparkSession, sf: str) -> DataFrame:
     """Every piece of every document in a container of each capacity."""
     docs = _token_counts(spark, sf)
-    out = None
-    for b in sorted(table(spark, sf, "pack_budgets").where("capacity_tokens is not null").distinct().collect()):
-        one = packing.pack(docs, "doc_id", "n_tokens", b["capacity_tokens"]).withColumn("budget_name", F.lit(b["budget_name"]))
-        out = one if out is None else out.unionByName(one)
-    return out.select("budget_name", "container_id", "start_token", "doc_id", "piece_no", "n_tokens")
+    rows = table(spark, sf, "pack_budgets").where("capacity_tokens is not null").select("budget_name", "capacity_tokens").distinct().collect()
+    packed = packing.pack(docs, "doc_id", "n_tokens", {r["budget_name"]: r["capacity_tokens"] for r in sorted(rows)})
+    return packed.select(F.col("budget").alias("budget_name"), "container_id", "start_token", "doc_id", "piece_no", "n_tokens", "filled_by")
 
 
 def p8_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Containers and share of room used for each capacity, with the least number of containers."""
-    budgets = table(spark, sf, "pack_budgets").distinct()
+    """Containers and share of room used for each capacity, those filled by combinations, and the least number of containers."""
+    budgets = table(spark, sf, "pack_budgets").select("budget_name", "capacity_tokens").distinct()
     filled = p8_packed(spark, sf).where("container_id is not null").groupBy("budget_name", "container_id").agg(
-        F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("items"), F.max(F.col("start_token") + F.col("n_tokens")).alias("ends")
+        F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("items"), F.max(F.col("start_token") + F.col("n_tokens")).alias("ends"), F.max("filled_by").alias("filled_by")
     )
     total = filled.groupBy("budget_name").agg(
-        F.count(F.lit(1)).alias("n_containers"), F.sum("n").alias("n_tokens"), F.sum("items").alias("n_pieces"), F.max("n").alias("fullest"), F.max("ends").alias("furthest_end")
+        F.count(F.lit(1)).alias("n_containers"), F.count_if(F.col("filled_by") == "combination").alias("by_combination"), F.sum("n").alias("n_tokens"),
+        F.sum("items").alias("n_pieces"), F.max("n").alias("fullest"), F.max("ends").alias("furthest_end"),
     )
     return total.join(F.broadcast(budgets), "budget_name").select(
-        "budget_name", "capacity_tokens", "n_containers", "n_pieces", "n_tokens", "fullest", "furthest_end",
+        "budget_name", "capacity_tokens", "n_containers", "by_combination", "n_pieces", "n_tokens", "fullest", "furthest_end",
         F.ceil(F.col("n_tokens") / F.col("capacity_tokens")).alias("least_containers"),
         (F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens"))).alias("room_used"),
     )
