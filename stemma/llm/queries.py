@@ -228,20 +228,21 @@ def p8_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def p9_mixed(spark: SparkSession, sf: str) -> DataFrame:
     """How often each document is used in the mix."""
-    docs = cut(table(spark, sf, "documents").select("doc_id", "source", "text", tokens.n_tokens(F.col("text")).alias("n_tokens")))
-    return mixing.mix(docs, "doc_id", "source", "n_tokens", "text", table(spark, sf, "mix_targets"))
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs, "doc_id", "source", "text", table(spark, sf, "mix_targets"))
 
 
 def p9_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Tokens, repeats and share of each source in the mix beside its target."""
+    """Tokens, repeats and share of each source in the mix beside its target, and the mean posterior of the source."""
     used = p9_mixed(spark, sf).groupBy("source").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.sum(F.col("n_tokens") * F.col("times")).alias("used_tokens"), F.max("times").alias("most_repeats")
+        F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.sum(F.col("n_tokens") * F.col("times")).alias("used_tokens"),
+        F.max("times").alias("most_repeats"), F.avg("membership").alias("mean_membership"),
     )
     targets = table(spark, sf, "mix_targets")
     used = used.join(F.broadcast(targets), "source", "full_outer")
     total = used.agg(F.sum("used_tokens").alias("t"))
     return used.crossJoin(F.broadcast(total)).select(
-        "source", "n_docs", "n_tokens", "used_tokens", "most_repeats", "max_repeats", "target_share",
+        "source", "n_docs", "n_tokens", "used_tokens", "most_repeats", "max_repeats", "target_share", "mean_membership",
         F.when(F.col("t") > 0, F.coalesce("used_tokens", F.lit(0)) / F.col("t")).alias("reached_share"),
     )
 

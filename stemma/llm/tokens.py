@@ -34,3 +34,15 @@ def n_tokens(text: Column, path: str = VOCABULARY) -> Column:
             yield pd.Series([0 if t is None else len(enc.encode_ordinary(t)) for t in batch], dtype="int32")
 
     return count(text)
+
+
+def token_ids(text: Column, path: str = VOCABULARY) -> Column:
+    """Tokens of the whole text; null and empty texts have none."""
+
+    @F.pandas_udf("array<int>")
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        enc = encoding(path)
+        for batch in batches:
+            yield pd.Series([[] if t is None else enc.encode_ordinary(t) for t in batch])
+
+    return ids(text)
