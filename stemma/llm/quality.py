@@ -1,16 +1,21 @@
 """Per-document text statistics, and running prose told from lists, tables and junk.
 
-Every line is weighed by its characters.  A line is prose when, its list mark taken off, it has words
-of which a fair share are common words of some language, few torn or single letters and is not
-repeated over and over; the short last line of a paragraph follows the line before.  A document is
-prose if most of its characters are; of words of digits only if delimiters align too.  Of the others
-tables show by delimiters within lines and by their vertical alignment in neighbouring lines, lists by
-the period of indentation and marks; what is neither is junk.  Alignment and period otherwise take no
-part in the decision on prose, table delimiters are looked for only in lines that are not prose, and
-the autocorrelation of line lengths is reported but decides nothing.
-
-Defined results: null and blank texts have zero words, null ratios and kind ``empty``; whole texts are
-read; repeated documents get the same row each; rows and their other columns do not affect each other.
+A text is a row of *units*: its lines, and the parts of a line that packs many short parts between equal separators.
+Tables and lists are detected from structure alone:
+
+* vertical alignment: neighbouring units with the same delimiters, or with the same few words;
+* indentation periodicity: units that open with a mark or are indented by multiples of one step;
+* autocorrelation of unit lengths at lag one: ruled rows of one length.
+
+The three are added in a window around each unit; the sum has to reach a bound, a lower one where units are
+of a few words.  Units of many words and without strong delimiters are sentences or paragraphs: their marks do
+not count.  What is not structured is read: long units are prose if word, symbol and capital ratios and the
+share of common words say so, else junk; short units hold too few words for shares and are prose unless they are
+noise, broken or repeated over and over.  A text is prose if most of its characters are.
+
+Defined results: null and blank texts have zero words, null ratios and kind ``empty``; whole texts are read; repeated
+documents get the same row each; rows and their other columns do not affect each other; any number of common
+words is used, of which only those that texts may hold as a word count.
 """
 
 from __future__ import annotations
@@ -23,20 +28,22 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_COMMON_WORDS = 200_000
 COMMON_SHARE, SINGLE_SHARE, TORN_SHARE, REPEATED, HALF = 0.15, 0.4, 0.12, 3, 0.5
+#: Units of so many words are read; the sum of structure that makes a list or table, of units of few words and others.
+LONG, FEW, BOUND_FEW, BOUND = 6, 3, 0.3, 0.6
 
 _WORD = re.compile(r"[^\W\d_]+(?:[̀-ͯ]+[^\W\d_]*)*")
-_MARK = re.compile(r"\s*(?:[-•*→–·+]\s+|\(?(?:\d{1,3}|[a-z]{1,4})[.)]\s+)")
-# fixed values: characters that stand inside torn words, delimiters of tables
+_MARK = re.compile(r"\s*(?:[-•*→–·+]\s+|\[[ xX]?\]\s+|\(?(?:\d{1,3}|[a-z]{1,4})[.)]\s+)")
+# fixed values: characters that stand inside torn words, delimiters
 _TORN = re.compile(r"[^\W\d_][#|~¦£�§¬^»«0-9$%&@<>=_]+[^\W\d_]|�|[#|~¦£§¬^][^\W\d_]|[^\W\d_][#|~¦£§¬^]|[¦~#£]")
 _ODD = re.compile(r"[#|~¦£�§¬^»«0-9$%&@<>=_]")
 _DIGIT = re.compile(r"\d")
 _CAPITALS = re.compile(r"[^\W\d_a-zß-öø-ÿ]{2}")
-_TABLE = re.compile(r"\t|\S {2,}\S|\.{4,}|-{5,}|={3,}|\S\s*\|\s*\S|^\S+ = \S|\w\",|,\"\w|,,")
 _TAG = re.compile(r"</?\w+[^>]*>|&\w+;")
+_STOP = re.compile(r"[.!?](?=\s|$|[\"'”)])")
 _END = (".", "!", "?", ":", ";", "…", ".”", ".\"", ")")
-_GAP = re.compile(r"\t|\||,| {2,}|\.{4,}|=")
+_DELIMITER = re.compile(r"\t|\||,(?=\S)|[,;:]| {2,}|\.{4,}|-{4,}|={3,}| = ?")
+STRONG = ("\t", "|", "  ", "..", "--", "==", " =", ",,")
 
 COLUMNS = (
     "n_words int, mean_word_len double, symbol_ratio double, digit_ratio double, upper_word_ratio double, "
@@ -46,40 +53,45 @@ COLUMNS = (
 NAMES = [c.split()[0] for c in COLUMNS.split(", ")]
 
 
-def _alignment(lines: list[str]) -> float:
-    """Share of neighbouring lines with the same delimiters at the same number or places."""
-    if len(lines) < 2:
-        return 0.0
-    hit, before = 0, None
-    for line in lines:
-        marks = [(line[m.start()], m.start()) for m in _GAP.finditer(line)]
-        if not marks:
-            before = None
-            continue
-        kinds = Counter([k for k, _ in marks])
-        if before is not None:
-            same = sum(1 for x in marks if x in before[1])
-            k = kinds.most_common(1)[0]
-            if same * 2 > len(marks) or (k[1] > 1 and before[2].get(k[0]) == k[1]) or k[0] in "\t=.":
-                hit += 1
-        before = (marks, set(marks), kinds)
-    return hit / (len(lines) - 1)
-
-
-def _periodicity(lines: list[str]) -> float:
-    """Share of lines that open with a mark or change the indentation by a step seen before."""
-    if len(lines) < 2:
-        return 0.0
-    indents = [len(x) - len(x.lstrip()) for x in lines]
+def units_of(line: str) -> list[str]:
+    """The line, or its parts where many short ones stand between equal separators."""
+    for sep in ("; ", ", ", " · "):
+        n = line.count(sep) + 1
+        if n >= 5 and line.count(" ") + 1 <= 3 * n:
+            return [x for x in line.split(sep) if x.strip()]
+    return [line]
+
+
+def delimiters(unit: str) -> tuple[str, ...]:
+    """Kinds of the delimiters inside a unit, in order; those written tight are another kind."""
+    return tuple(",," if m[0] == "," and m.end() < len(unit) and unit[m.end()] != " " else m[0][:2] for m in _DELIMITER.finditer(unit))
+
+
+def alignment(marks: list[tuple[str, ...]], words: list[int]) -> list[float]:
+    """1 for each pair of neighbours whose delimiters or few words stand alike, else 0."""
+    out = []
+    for a, b, m, n in zip(marks, marks[1:], words, words[1:]):
+        if a == b:
+            hit = (m == n and m <= 4 or max(m, n) <= 2) if not a else len(a) > 1 or a[0] in STRONG or max(m, n) < LONG
+        else:
+            # a rule and the row below it; rows with empty or joined cells: at least half of the strong delimiters in common
+            x, y = Counter([k for k in a if k in STRONG]), Counter([k for k in b if k in STRONG])
+            ruled = {"--", "=="}
+            hit = bool(x and y) and (x.keys() <= ruled or y.keys() <= ruled or 2 * (x & y).total() >= max(x.total(), y.total()))
+        out.append(1.0 if hit else 0.0)
+    return out
+
+
+def periodicity(units: list[str], marked: list[bool]) -> list[float]:
+    """1 for units that open with a mark or are indented by a multiple of the step seen most, else 0."""
+    indents = [len(x) - len(x.lstrip(" \t")) for x in units]
     steps = Counter(abs(a - b) for a, b in zip(indents, indents[1:]) if a != b)
     step = steps.most_common(1)[0][0] if steps else 0
-    periodic = sum(1 for i in indents if step and i and i % step == 0)
-    marked = sum(1 for x in lines if _MARK.match(x))
-    return max(periodic, marked) / len(lines)
+    return [1.0 if m or (step and i and i % step == 0) else 0.0 for i, m in zip(indents, marked)]
 
 
-def _autocorrelation(lengths: list[int]) -> float:
-    """Lag-one autocorrelation of line lengths; 1 for lines of one length."""
+def autocorrelation(lengths: list[int]) -> float:
+    """Lag-one autocorrelation of lengths; 1 for units of one length."""
     n = len(lengths)
     if n < 3:
         return 0.0
@@ -90,99 +102,114 @@ def _autocorrelation(lengths: list[int]) -> float:
     return sum((a - mean) * (b - mean) for a, b in zip(lengths, lengths[1:])) / var
 
 
+def _window(values: list[float], i: int, before: int, after: int) -> float:
+    part = values[max(i - before, 0) : i + after]
+    return sum(part) / len(part) if part else 0.0
+
+
+def structured(marks: list[tuple[str, ...]], words: list[int], pairs: list[float], periods: list[float], auto: float) -> list[bool]:
+    """Which units belong to a list or table by the structure around them."""
+    out = []
+    for i, (m, n) in enumerate(zip(marks, words)):
+        aligned = _window(pairs, i, 2, 2)
+        if n > 8 and not any(k in STRONG for k in m):
+            out.append(False)
+            continue
+        few = _window(words, i, 2, 3) <= FEW
+        score = aligned + (_window(periods, i, 2, 3) if n <= 8 else 0.0) + 0.5 * max(auto, 0.0)
+        out.append(score >= (BOUND_FEW if few else BOUND))
+    return out
+
+
+def read_unit(rest: str, common: frozenset[str]) -> tuple:
+    """(words, letters, capitals, common, is prose, is noise) of one unit without its mark, taken by itself."""
+    low = _WORD.findall(rest.lower())
+    k = len(low)
+    lengths = list(map(len, low))
+    n_letters = sum(lengths)
+    hits = sum(map(common.__contains__, low))
+    ups = sum(1 for w in _WORD.findall(rest) if len(w) > 1 and w.isupper()) if _CAPITALS.search(rest) else 0
+    singles = lengths.count(1)
+    tokens = max(len(rest.split()), 1)
+    torn = len(_TORN.findall(rest)) / tokens if _ODD.search(rest) else 0.0
+    tag = len(_TAG.findall(rest)) if "<" in rest or "&" in rest else 0
+    broken = torn >= TORN_SHARE or tag * 5 >= tokens or (k > 3 and singles >= SINGLE_SHARE * k) or n_letters > 30 * max(k, 1)
+    if tokens >= LONG:
+        prose = not broken and hits >= COMMON_SHARE * k and ups < 0.3 * k and 0 < k < 12 * len(set(low))
+    else:
+        solid = len(rest) - rest.count(" ")
+        prose = not broken and n_letters >= 0.6 * solid
+    return k, n_letters, ups, hits, prose, broken
+
+
 def measure(text: str | None, common: frozenset[str]) -> tuple:
     if text is None or not text.strip():
         return (0, None, None, None, None, None, 0, None, None, None, None, None, None, None, "empty")
     lines = [x for x in text.split("\n") if x.strip()]
     bodies = [x.strip() for x in lines]
     seen = Counter(bodies)
-    words_all = letters = upper = common_all = ended = repeated = 0
-    chars = prose = listed = tabled = junk = 0
-    follows = False
-    known: dict[str, tuple] = {}
+    units: list[str] = []
+    over: list[bool] = []
     for line, body in zip(lines, bodies):
-        n = len(body)
+        parts = units_of(line)
+        units += parts
+        over += [seen[body] > REPEATED] * len(parts)
+    found = [_MARK.match(x) for x in units]
+    rests = [x[m.end() :].strip() if m else x.strip() for x, m in zip(units, found)]
+    marks = [delimiters(x) for x in rests]
+    words = [x.count(" ") + 1 if not x.count("  ") else len(x.split()) for x in rests]
+    pairs, periods = alignment(marks, words), periodicity(units, [m is not None for m in found])
+    auto = autocorrelation([len(x) for x in units])
+    in_structure = structured(marks, words, pairs, periods, auto)
+    words_all = letters = upper = common_all = chars = prose = listed = tabled = junk = 0
+    known: dict[str, tuple] = {}
+    for rest, m, again, inside in zip(rests, marks, over, in_structure):
+        n = max(len(rest), 1)
         chars += n
-        if body not in known:
-            m = _MARK.match(line)
-            rest = line[m.end() :] if m else body
-            lower = rest.lower()
-            low = _WORD.findall(lower)
-            k = len(low)
-            lengths = list(map(len, low))
-            n_letters = sum(lengths)
-            hits = sum(map(common.__contains__, low))
-            ups = sum(1 for w in _WORD.findall(rest) if len(w) > 1 and w.isupper()) if _CAPITALS.search(rest) else 0
-            singles = lengths.count(1)
-            tokens = max(len(rest.split()), 1)
-            torn = len(_TORN.findall(rest)) / tokens if _ODD.search(rest) else 0.0
-            tag = len(_TAG.findall(rest)) if "<" in rest or "&" in rest else 0
-            looks = (
-                k >= 3 and hits >= COMMON_SHARE * k and singles < SINGLE_SHARE * k and torn < TORN_SHARE
-                and ups < 0.3 * k and tag * 5 < tokens and k < 12 * len(set(low))
-            )
-            table = noise = False
-            if not looks or seen[body] > REPEATED:
-                border = not low and len(set(body)) <= 4 and body[0] in "+|" and len(body) > 4
-                table = border or (bool(_TABLE.search(body)) and singles < SINGLE_SHARE * max(k, 1) + 1)
-                noise = not table and (torn >= TORN_SHARE or tag > 0)
-                noise = noise or singles > SINGLE_SHARE * max(k, 1) + 3 or (k > 10 and (ups >= 0.15 * k or k >= 8 * len(set(low))))
-                noise = noise or (k > 0 and n_letters > 30 * k) or (not low and not border and not any(map(str.isalnum, body)))
-            known[body] = (k, n_letters, ups, hits, looks, table, bool(m), torn, noise)
-        k, ls, ups, hits, looks, table, mark, torn, noise = known[body]
+        if rest not in known:
+            known[rest] = read_unit(rest, common)
+        k, n_letters, ups, hits, is_prose, broken = known[rest]
         words_all += k
-        letters += ls
+        letters += n_letters
         upper += ups
         common_all += hits
-        ended += body.endswith(_END)
-        over = seen[body] > REPEATED
-        repeated += over
-        short_tail = follows and 0 < k <= 4 and not table and not mark and torn < TORN_SHARE and not over
-        is_prose = (looks and not over) or short_tail
-        if is_prose:
+        strong = any(x in STRONG for x in m)
+        if inside and (strong or not (broken or again)):
+            if strong:
+                tabled += n
+            else:
+                listed += n
+        elif is_prose and not again:
             prose += n
-        elif noise or (over and not table):
-            junk += n
-        elif table:
-            tabled += n
         else:
-            listed += n
-        follows = is_prose and not body.endswith((".", "!", "?"))
-    # ruled lines between rows are no rows
-    alignment, period = _alignment([x for x in lines if any(map(str.isalnum, x))]), _periodicity(lines)
-    auto = _autocorrelation([len(x) for x in lines])
+            junk += n
+    ended = sum(body.endswith(_END) for body in bodies)
+    repeated = sum(n for n in seen.values() if n > REPEATED)
     compact = "".join(text.split())
     symbols = len(compact) - sum(map(str.isalnum, compact))
     digits = sum(map(str.isdigit, compact)) if _DIGIT.search(compact) else 0
-    stops = len(re.findall(r"[.!?](?=\s|$|[\"'”)])", text))
-    per_sentence = words_all / max(stops, 1)
+    per_sentence = words_all / max(len(_STOP.findall(text)), 1)
     ratio = prose / chars
     # words without sentences, and words of digits
-    if (ratio >= HALF and words_all > 40 and per_sentence > 90) or digits > 0.4 * len(compact) and alignment < 0.2:
+    if (ratio >= HALF and words_all > 40 and per_sentence > 90) or (ratio >= HALF and digits > 0.4 * len(compact)):
         ratio, junk = 0.0, chars
-    # delimiters in one line alone align with nothing
-    if alignment <= 0.2 and len(lines) > 3:
-        listed, tabled = listed + tabled, 0
     if ratio >= HALF:
         kind = "prose"
     elif junk >= max(listed, tabled):
         kind = "junk"
-    elif tabled >= listed * (0.5 if period < 0.5 else 1.0):
-        kind = "table"
     else:
-        kind = "list"
+        kind = "table" if tabled >= listed else "list"
+    aligned = sum(pairs) / len(pairs) if pairs else 0.0
     return (
         words_all, letters / words_all if words_all else None, symbols / len(compact), digits / len(compact),
         upper / words_all if words_all else None, common_all / words_all if words_all else None, len(lines), ended / len(lines),
-        repeated / len(lines), alignment, period, auto, per_sentence, ratio, kind,
+        repeated / len(lines), aligned, sum(periods) / len(periods), auto, per_sentence, ratio, kind,
     )
 
 
 def common_words(words: DataFrame, column: str = "word") -> frozenset[str]:
-    rows = words.where(F.col(column).isNotNull()).select(F.lower(F.col(column)).alias("w")).distinct().limit(MAX_COMMON_WORDS + 1).collect()
-    if len(rows) > MAX_COMMON_WORDS:
-        raise ValueError(f"more than {MAX_COMMON_WORDS} common words")
-    return frozenset(r["w"] for r in rows)
+    """The list of common words, lower case; a table of the language, not of the documents."""
+    return frozenset(r["w"] for r in words.where(F.col(column).isNotNull()).select(F.lower(F.col(column)).alias("w")).distinct().collect())
 
 
 def statistics(df: DataFrame, doc_id: str, text: str, common: frozenset[str]) -> DataFrame:

@@ -29,6 +29,32 @@ def test_kinds(text, kind):
     assert got["n_words"] == 0 if kind == "empty" else True
 
 
+WORDS = "zelon hleis sufno taens brothos ligra ptousa mero gant wend olda irka nuls tremo".split()
+
+
+@pytest.mark.parametrize(
+    "text, kind",
+    [
+        ("\n".join(WORDS), "list"), ("\n".join(f"{w}: nail; horse" for w in WORDS), "list"), ("; ".join(f"{w} {i * 37}" for i, w in enumerate(WORDS)), "list"),
+        ("\n".join(f"[{'x ' [i % 2]}] see {w} {i}." for i, w in enumerate(WORDS)), "list"), ("\n".join(f"{w} ........ {i}" for i, w in enumerate(WORDS)), "table"),
+        ("\n".join(",".join(WORDS[i : i + 4]) for i in range(9)), "table"), (PROSE + "\n" + ", ".join(WORDS * 4), "list"), ("Chapter One\n" + PROSE + "\nThe End", "prose"),
+    ],
+)
+def test_structure_decides(text, kind, monkeypatch):
+    """Lists and tables are found by structure: without it their short units are taken for prose or junk."""
+    assert dict(zip(Q.NAMES, Q.measure(text, COMMON)))["kind"] == kind
+    monkeypatch.setattr(Q, "alignment", lambda marks, words: [0.0] * (len(words) - 1))
+    monkeypatch.setattr(Q, "periodicity", lambda units, marked: [0.0] * len(units))
+    monkeypatch.setattr(Q, "autocorrelation", lambda lengths: 0.0)
+    assert dict(zip(Q.NAMES, Q.measure(text, COMMON)))["kind"] not in ("list", "table")
+
+
+def test_structure_measures():
+    assert Q.alignment([("\t",), ("\t",), ()], [2, 2, 9]) == [1.0, 0.0] and Q.alignment([], []) == [] and Q.alignment([()], [1]) == []
+    assert Q.periodicity(["a", "  b", "    c", " d"], [False] * 4) == [0.0, 1.0, 1.0, 0.0]
+    assert Q.autocorrelation([5, 5, 5]) == 1.0 and Q.autocorrelation([1, 2]) == 0.0 and Q.autocorrelation([1, 9] * 6) < -0.5
+
+
 def test_statistics(spark):
     rows = [(1, PROSE, "x"), (2, None, "x"), (3, "", "x"), (4, PROSE, "x"), (5, "a " * 300_000, "x")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, kind string")
