@@ -38,12 +38,18 @@ _MARK = re.compile(r"\s*(?:[-•*→–·+]\s+|\[[ xX]?\]\s+|\(?(?:\d{1,3}|[a-z]
 _TORN = re.compile(r"[^\W\d_][#|~¦£�§¬^»«0-9$%&@<>=_]+[^\W\d_]|�|[#|~¦£§¬^][^\W\d_]|[^\W\d_][#|~¦£§¬^]|[¦~#£]")
 _ODD = re.compile(r"[#|~¦£�§¬^»«0-9$%&@<>=_]")
 _DIGIT = re.compile(r"\d")
-_CAPITALS = re.compile(r"[^\W\d_a-zß-öø-ÿ]{2}")
+#: Words in capitals are counted where two plain capitals stand together.
+_CAPITALS = re.compile(r"[A-ZÀ-ÖØ-ÞΑ-ΩА-Я]{2}")
 _TAG = re.compile(r"</?\w+[^>]*>|&\w+;")
 _STOP = re.compile(r"[.!?](?=\s|$|[\"'”)])")
 _END = (".", "!", "?", ":", ";", "…", ".”", ".\"", ")")
-_DELIMITER = re.compile(r"\t|\||,(?=\S)|[,;:]| {2,}|\.{4,}|-{4,}|={3,}| = ?")
-STRONG = ("\t", "|", "  ", "..", "--", "==", " =", ",,")
+_DELIMITER = re.compile(r"\t|\||[,;:]| {2,}|\.{4,}|-{4,}|={3,}| = ?")
+STRONG = frozenset(("\t", "|", "  ", "..", "--", "==", " =", ",,"))
+_SIGNS = ("\t", "|", "  ", "....", "----", "===", " =")
+_SIMPLE = re.compile(r"[^\W\d_]+")
+_COMBINING = re.compile(r"[̀-ͯ]")
+#: Delimiters of units of many words, none of them strong: they align with nothing.
+RUNNING = ("running",)
 
 COLUMNS = (
     "n_words int, mean_word_len double, symbol_ratio double, digit_ratio double, upper_word_ratio double, "
@@ -62,16 +68,22 @@ def units_of(line: str) -> list[str]:
     return [line]
 
 
-def delimiters(unit: str) -> tuple[str, ...]:
-    """Kinds of the delimiters inside a unit, in order; those written tight are another kind."""
-    return tuple(",," if m[0] == "," and m.end() < len(unit) and unit[m.end()] != " " else m[0][:2] for m in _DELIMITER.finditer(unit))
+def delimiters(unit: str, words: int) -> tuple[str, ...]:
+    """Kinds of the delimiters inside a unit, in order; commas written tight are another kind and stand last."""
+    tight = unit.count(",") - unit.count(", ") - unit.endswith(",") if "," in unit else 0
+    if words > 8 and tight <= 0 and not any([x in unit for x in _SIGNS]):
+        return RUNNING
+    found = tuple([m[:2] for m in _DELIMITER.findall(unit)])
+    return found + (",,",) * tight if tight > 0 else found
 
 
 def alignment(marks: list[tuple[str, ...]], words: list[int]) -> list[float]:
     """1 for each pair of neighbours whose delimiters or few words stand alike, else 0."""
     out = []
     for a, b, m, n in zip(marks, marks[1:], words, words[1:]):
-        if a == b:
+        if a is RUNNING or b is RUNNING:
+            hit = False
+        elif a == b:
             hit = (m == n and m <= 4 or max(m, n) <= 2) if not a else len(a) > 1 or a[0] in STRONG or max(m, n) < LONG
         else:
             # a rule and the row below it; rows with empty or joined cells: at least half of the strong delimiters in common
@@ -111,34 +123,32 @@ def structured(marks: list[tuple[str, ...]], words: list[int], pairs: list[float
     """Which units belong to a list or table by the structure around them."""
     out = []
     for i, (m, n) in enumerate(zip(marks, words)):
-        aligned = _window(pairs, i, 2, 2)
-        if n > 8 and not any(k in STRONG for k in m):
+        if m is RUNNING:
             out.append(False)
             continue
+        aligned = _window(pairs, i, 2, 2)
         few = _window(words, i, 2, 3) <= FEW
         score = aligned + (_window(periods, i, 2, 3) if n <= 8 else 0.0) + 0.5 * max(auto, 0.0)
         out.append(score >= (BOUND_FEW if few else BOUND))
     return out
 
 
-def read_unit(rest: str, common: frozenset[str]) -> tuple:
+def read_unit(rest: str, tokens: int, word: re.Pattern, common: frozenset[str]) -> tuple:
     """(words, letters, capitals, common, is prose, is noise) of one unit without its mark, taken by itself."""
-    low = _WORD.findall(rest.lower())
+    low = word.findall(rest.lower())
     k = len(low)
     lengths = list(map(len, low))
     n_letters = sum(lengths)
     hits = sum(map(common.__contains__, low))
-    ups = sum(1 for w in _WORD.findall(rest) if len(w) > 1 and w.isupper()) if _CAPITALS.search(rest) else 0
+    ups = sum([1 for w in word.findall(rest) if len(w) > 1 and w.isupper()]) if _CAPITALS.search(rest) else 0
     singles = lengths.count(1)
-    tokens = max(len(rest.split()), 1)
     torn = len(_TORN.findall(rest)) / tokens if _ODD.search(rest) else 0.0
     tag = len(_TAG.findall(rest)) if "<" in rest or "&" in rest else 0
     broken = torn >= TORN_SHARE or tag * 5 >= tokens or (k > 3 and singles >= SINGLE_SHARE * k) or n_letters > 30 * max(k, 1)
     if tokens >= LONG:
         prose = not broken and hits >= COMMON_SHARE * k and ups < 0.3 * k and 0 < k < 12 * len(set(low))
     else:
-        solid = len(rest) - rest.count(" ")
-        prose = not broken and n_letters >= 0.6 * solid
+        prose = not broken and n_letters >= 0.6 * (len(rest) - rest.count(" "))
     return k, n_letters, ups, hits, prose, broken
 
 
@@ -156,24 +166,25 @@ def measure(text: str | None, common: frozenset[str]) -> tuple:
         over += [seen[body] > REPEATED] * len(parts)
     found = [_MARK.match(x) for x in units]
     rests = [x[m.end() :].strip() if m else x.strip() for x, m in zip(units, found)]
-    marks = [delimiters(x) for x in rests]
-    words = [x.count(" ") + 1 if not x.count("  ") else len(x.split()) for x in rests]
+    words = [x.count(" ") + 1 if "  " not in x else len(x.split()) for x in rests]
+    marks = [delimiters(x, n) for x, n in zip(rests, words)]
+    word = _WORD if _COMBINING.search(text) else _SIMPLE
     pairs, periods = alignment(marks, words), periodicity(units, [m is not None for m in found])
     auto = autocorrelation([len(x) for x in units])
     in_structure = structured(marks, words, pairs, periods, auto)
     words_all = letters = upper = common_all = chars = prose = listed = tabled = junk = 0
     known: dict[str, tuple] = {}
-    for rest, m, again, inside in zip(rests, marks, over, in_structure):
+    for rest, tokens, m, again, inside in zip(rests, words, marks, over, in_structure):
         n = max(len(rest), 1)
         chars += n
         if rest not in known:
-            known[rest] = read_unit(rest, common)
+            known[rest] = read_unit(rest, tokens, word, common)
         k, n_letters, ups, hits, is_prose, broken = known[rest]
         words_all += k
         letters += n_letters
         upper += ups
         common_all += hits
-        strong = any(x in STRONG for x in m)
+        strong = m is not RUNNING and not STRONG.isdisjoint(m)
         if inside and (strong or not (broken or again)):
             if strong:
                 tabled += n
@@ -185,13 +196,14 @@ def measure(text: str | None, common: frozenset[str]) -> tuple:
             junk += n
     ended = sum(body.endswith(_END) for body in bodies)
     repeated = sum(n for n in seen.values() if n > REPEATED)
-    compact = "".join(text.split())
-    symbols = len(compact) - sum(map(str.isalnum, compact))
-    digits = sum(map(str.isdigit, compact)) if _DIGIT.search(compact) else 0
+    solid = sum(map(len, text.split()))
+    digits = len(_DIGIT.findall(text))
+    # what is neither letter nor digit, list marks included
+    symbols = max(solid - letters - digits, 0)
     per_sentence = words_all / max(len(_STOP.findall(text)), 1)
     ratio = prose / chars
     # words without sentences, and words of digits
-    if (ratio >= HALF and words_all > 40 and per_sentence > 90) or (ratio >= HALF and digits > 0.4 * len(compact)):
+    if (ratio >= HALF and words_all > 40 and per_sentence > 90) or (ratio >= HALF and digits > 0.4 * solid):
         ratio, junk = 0.0, chars
     if ratio >= HALF:
         kind = "prose"
@@ -201,7 +213,7 @@ def measure(text: str | None, common: frozenset[str]) -> tuple:
         kind = "table" if tabled >= listed else "list"
     aligned = sum(pairs) / len(pairs) if pairs else 0.0
     return (
-        words_all, letters / words_all if words_all else None, symbols / len(compact), digits / len(compact),
+        words_all, letters / words_all if words_all else None, symbols / solid, digits / solid,
         upper / words_all if words_all else None, common_all / words_all if words_all else None, len(lines), ended / len(lines),
         repeated / len(lines), aligned, sum(periods) / len(periods), auto, per_sentence, ratio, kind,
     )
