@@ -127,9 +127,6 @@ QUERIES |= {"p4_found": p4_found, "p4_scored": p4_scored, "p4_rates": p4_rates}
 # ---------------------------------------------------------------- linkage
 
 
-MAX_LANGUAGES = 1_000
-
-
 def _entries(spark: SparkSession, sf: str) -> DataFrame:
     """Dictionary entries, one row per written form (lemma and transliteration)."""
     m = table(spark, sf, "lex_master").where("lang is not null and lemma_id is not null")
@@ -142,7 +139,7 @@ def _entries(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _linkable(spark: SparkSession, sf: str, only_open: bool = True) -> DataFrame:
-    """Attested words with their language, standard form, senses and page."""
+    """Attested words with their languages (null if none is given or named), standard form, senses and page."""
     r = table(spark, sf, "lex_ref_link").where("lex_ref_link_id is not null")
     if only_open:
         paired = table(spark, sf, "temp_on_matching").select("lex_ref_link_id")
@@ -160,27 +157,22 @@ def _linkable(spark: SparkSession, sf: str, only_open: bool = True) -> DataFrame
     # rows without language get those their free-typed abbreviation names
     typed = r.where("lang is null and orig_lang_abbrev is not null").select(F.col("orig_lang_abbrev").alias("v")).distinct()
     codes = table(spark, sf, "lang_abbrev_master").select(F.col("abbrev_id").alias("entry"), F.col("eng_abbrev").alias("code"))
-    named = canonical.canonicalize(typed, _vocabulary(spark, sf)).join(F.broadcast(codes), "entry").select(F.col("v").alias("orig_lang_abbrev"), "code")
-    known = [x["lang"] for x in table(spark, sf, "lex_master").where("lang is not null").select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
-    if len(known) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} dictionaries")
-    languages = F.array(*map(F.lit, sorted(known))) if known else F.array().cast("array<string>")
-    # a language neither given nor named is tried against every dictionary
-    open_ = r.where("lang is null").drop("lang").join(named, "orig_lang_abbrev", "left")
-    open_ = open_.withColumn("sure", F.col("code").isNotNull()).withColumn("lang", F.explode(F.when(F.col("sure"), F.array("code")).otherwise(languages)))
-    r = r.where("lang is not null").withColumn("sure", F.lit(True)).unionByName(open_.drop("code"))
-    r = r.where(F.col("lang").isin(known))
+    named = canonical.canonicalize(typed, _vocabulary(spark, sf)).join(F.broadcast(codes), "entry").groupBy(F.col("v").alias("orig_lang_abbrev")).agg(F.array_sort(F.collect_set("code")).alias("codes"))
+    r = r.join(named, "orig_lang_abbrev", "left").withColumn("langs", F.when(F.col("lang").isNotNull(), F.array("lang")).otherwise(F.col("codes")))
+    # the alphabet of one language; without one, or with several, the letters tell
+    r = r.withColumn("lang", F.when(F.size("langs") == 1, F.col("langs")[0]))
     r = charnorm.standardize(r, "reflex", "lang", "form")
-    fold = linkage.folded(F.col("form"))
     r = r.select(
-        "row_id", "lang", "sure", fold.alias("fold"), "items", "page", F.col("form").endswith("-").alias("is_stem")
+        "row_id", "langs", linkage.folded(F.col("form")).alias("fold"), F.array_sort("items").alias("items"), "page", F.col("form").endswith("-").alias("is_stem")
     )
     return r.where("fold <> ''").withColumn("skel", linkage.skeleton(F.col("fold")))
 
 
 def p5_matches(spark: SparkSession, sf: str) -> DataFrame:
     """The entry each open row stands for, with a confidence."""
-    found = linkage.link(cut(_linkable(spark, sf)), cut(_entries(spark, sf)))
+    # the dictionaries there are, each tried for rows whose language is neither given nor named
+    languages = [x["lang"] for x in table(spark, sf, "lex_master").where("lang is not null").select("lang").distinct().collect()]
+    found = linkage.link(cut(_linkable(spark, sf)), cut(_entries(spark, sf)), languages)
     return found.select("lang", "lemma_id", F.col("row_id").alias("lex_ref_link_id"), "confidence")
 
 
