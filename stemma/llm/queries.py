@@ -90,7 +90,7 @@ QUERIES |= {"p10_found": p10_found, "p10_statistics": p10_statistics}
 
 # ---------------------------------------------------------------- cut texts
 
-_REF_KINDS = {"gloss": "item", "reflex": "prefix", "rt_gloss_eng": "none"}
+_FIELDS = {"gloss": truncation.Field(ref="item"), "reflex": truncation.Field(ref="prefix", forms=True), "rt_gloss_eng": truncation.Field(prose=True)}
 
 
 def _cut_candidates(spark: SparkSession, sf: str) -> DataFrame:
@@ -105,8 +105,8 @@ def _cut_candidates(spark: SparkSession, sf: str) -> DataFrame:
 
 def p4_scored(spark: SparkSession, sf: str) -> DataFrame:
     """Every value with the probability that it was cut."""
-    scored, _ = truncation.score(_cut_candidates(spark, sf), _REF_KINDS)
-    return scored.select(F.col("field").alias("field_name"), "source_key", "row_id", "value", "ref", "at_limit", "known", "probability")
+    scored, _ = truncation.score(_cut_candidates(spark, sf), _FIELDS)
+    return scored.select(F.col("field").alias("field_name"), "source_key", "row_id", "value", "ref", F.when(F.col("distance") >= 0, F.col("distance")).alias("length_to_limit"), "known", "probability")
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:

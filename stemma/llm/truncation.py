@@ -2,24 +2,29 @@
 
 1. The length limit of every source is read from all values: the longest length (in characters
    or bytes, a closing replacement character left out) at which values pile up.
-2. Intact values (closed by their reference text or by punctuation) are cut at hashed positions; a
-   cut inside a word, phrase, bracket or list is a positive, one that leaves out whole last items a
-   negative.
-3. A hashed logistic regression is fitted on closing characters, closing words, punctuation balance,
-   length to limit, whether the closing word occurs elsewhere inside texts, and how the value
-   compares with a fuller text of the same row.  The training sample is bounded by ``max_train`` rows
-   a field, taken by hash order; counts, limits and scores cover every row.
+2. Intact values (closed by their fuller text, by punctuation, or well below any limit) are cut artificially: at
+   limits like those found, in characters or in bytes, where bytes may tear a character, and at hashed
+   places, as in transfer.  A cut inside a word, phrase, bracket or list is a positive, one that leaves out whole
+   last items and the values themselves are negatives.  The length to the limit is measured on every
+   example against the limit it was cut at or fits below, as on every real value.
+3. A hashed logistic regression is fitted on closing characters, closing words, punctuation balance, length
+   to limit as a number and in steps, whether the closing word occurs elsewhere inside texts, and how the value
+   compares with a fuller text of the same row.  Training begins at plain weights for brackets, quotes and
+   limits, which stay where there is nothing to learn from.  The sample is bounded by ``max_train`` intact values a
+   field, taken by hash order; counts, limits and scores cover every row.
 
 Defined results: null and blank values are never cut; texts closed by an ellipsis or 'etc.' are
-complete; a closing replacement character is a cut character; equal rows get equal scores; without
-training rows of either kind the bracket and word rules of the prior weights decide.
+complete; a closing replacement character is a cut character; equal rows get equal scores; fields without
+a ``Field`` description are taken as lists without fuller text.
 """
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -30,14 +35,34 @@ from stemma.session import broadcast_if_small, cut
 
 DIM = 1 << 16
 SEPARATORS = ";,|·\n\t"
-_ITEM = re.compile(r"[;,|·\n\t]|\s/\s|(?<=[.])\s")
+FAR = -1  # no limit
+#: Share of cut values that the examples are weighed to.
+CUT_SHARE = 0.15
+_ENDS = SEPARATORS + " \u00a0"
 _PAIRED = re.compile(r"[()\[\]\"“”‘’«»']")
 _BREAK = re.compile(r"[;,|·\n\t]|[./](?=[ \xa0])")
 _TAIL_WORD = re.compile(r"[^\s,;|·/()\[\]\"“”‘’«»]+$")
 _CLOSED = re.compile(r"(?:…|\.\.\.|\betc\.?)\s*$")
+_NUMBERED = re.compile(r"(?:^|\s)\d{1,3}\)")
+_SINGLE = re.compile(r"(?:^|(?<=[\s(]))'|'(?=$|[\s,.;)!?])")
+_GOES_ON = re.compile(r"\s*[;,|·\n\t]|\s/\s|\.\s|\.?$")
 TAIL_WORD_SQL = r"([^\s\u00a0,;|·/()\[\]\"“”‘’«»]+)\s*$"
 
 
+@dataclass(frozen=True)
+class Field:
+    """What the values of a field are.
+
+    ref: how the fuller text of the row holds the value: its ``item``s, as its ``prefix``, or ``none``.
+    prose: sentences, which a stop or a closing bracket shows to be whole.
+    forms: a list of forms of one word, in which more has to follow a separator.
+    """
+
+    ref: str = "none"
+    prose: bool = False
+    forms: bool = False
+
+
 def last_item(v: str) -> str:
     """What follows the last separator outside brackets and double quotes."""
     n = len(v.rstrip())
@@ -63,16 +88,15 @@ def last_item(v: str) -> str:
 def _open(v: str) -> tuple[bool, bool]:
     if not _PAIRED.search(v):
         return False, False
-    bracket = re.sub(r"(?:^|\s)\d{1,3}\)", " ", v)
+    bracket = _NUMBERED.sub(" ", v) if ")" in v else v
     b = bracket.count("(") > bracket.count(")") or bracket.count("[") > bracket.count("]")
     q = v.count('"') % 2 == 1 or v.count("“") > v.count("”") or v.count("«") > v.count("»") or v.count("‘") > v.count("’")
-    singles = re.findall(r"(?:^|(?<=[\s(]))'|'(?=$|[\s,.;)!?])", v)
-    return b, q or (len(singles) % 2 == 1)
+    return b, q or ("'" in v and len(_SINGLE.findall(v)) % 2 == 1)
 
 
-def compare(v: str, ref: str | None, kind: str) -> str:
-    """'none', 'whole' or 'more': how the end of ``v`` stands in the fuller text."""
-    if not ref:
+def compare(v: str, ref: str | None, kind: str, item: str | None = None) -> str:
+    """'none', 'whole' or 'more': how the end of ``v``, its last item, stands in the fuller text."""
+    if not ref or kind == "none":
         return "none"
     if kind == "prefix":
         if not ref.startswith(v):
@@ -81,16 +105,21 @@ def compare(v: str, ref: str | None, kind: str) -> str:
         if not rest or (re.match(r"\s*[;,=]|\s+=", rest) and v[-1:].isalnum() or (rest[:1] in ",;" and v[-1:] in ").")):
             return "whole"
         return "more"
-    item = last_item(v.rstrip(SEPARATORS + " \u00a0")).strip().strip("\"“”‘’«»").strip()
-    item = re.sub(r"^\d{1,3}[.)]\s+", "", item).replace("�", "").strip()
+    item = last_item(v.rstrip(_ENDS)) if item is None else item
+    item = item.strip().strip("\"“”‘’«»").strip()
+    if item[:1].isdigit():
+        item = re.sub(r"^\d{1,3}[.)]\s+", "", item)
+    item = item.replace("�", "").strip()
     if not item:
         return "none"
-    found = "none"
-    for m in re.finditer(r"(?:(?<=[;,.] )|^)" + re.escape(item), ref):
-        nxt = ref[m.end() : m.end() + 1]
-        if nxt in ("", ";", ","):
-            return "whole"
-        found = "more"
+    found, at = "none", ref.find(item)
+    while at >= 0:
+        if at == 0 or (at > 1 and ref[at - 1] == " " and ref[at - 2] in ";,."):
+            end = at + len(item)
+            if end == len(ref) or ref[end] in ";,":
+                return "whole"
+            found = "more"
+        at = ref.find(item, at + 1)
     return found
 
 
@@ -98,40 +127,53 @@ def _h(s: str) -> int:
     return zlib.crc32(s.encode("utf-8", "replace")) % (DIM - 64) + 64
 
 
-def features(field: str, v: str, ref: str | None, ref_kind: str, at_limit: bool, known: int) -> list[int]:
+def step_of(distance: int) -> int:
+    """Step of the length to the limit: exact below 3, then in widening steps; the last where there is none."""
+    if distance < 0:
+        return 6
+    return distance if distance < 3 else 3 if distance < 9 else 4 if distance < 33 else 5
+
+
+def nearness(distance: int) -> float:
+    """Length to the limit as a number between 0 (far or no limit) and 1 (at it)."""
+    return 1.0 / (1 + distance) if distance >= 0 else 0.0
+
+
+#: Number of features of a value, and the first of the fixed ones: limit steps.
+N_FEATURES, STEPS = 22, 20
+
+
+def features(name: str, spec: Field, v: str, ref: str | None, distance: int, known: int, closes: int) -> list[int]:
     s = v.rstrip()
-    tail = v[len(s) :]
+    tail = len(v) > len(s)
     b, q = _open(v)
-    item = last_item(s).strip()
-    words = item.split()
+    whole_item = last_item(s)
+    words = whole_item.split()
     lead = " ".join(words[:2])
     m = _TAIL_WORD.search(s)
     word = m.group().lower() if m else ""
     close = s[-1:] if s[-1:] and not s[-1:].isalnum() else "A"
-    cmp_ = compare(v, ref, ref_kind)
-    f = [0, 1 + b, 3 + q, 5 + bool(at_limit), 7 + min(known, 3), 11 + ("none", "whole", "more").index(cmp_)]
-    f.append(14 + (close == "�"))
-    f.append(16 + bool(_CLOSED.search(s)))
-    f.append(18 + (close in SEPARATORS) + 2 * bool(tail))
-    p = field + "|"
-    f += [
-        _h(p + "close" + close), _h(p + "cmp" + cmp_), _h(f"{p}lim{bool(at_limit)}{close == 'A'}{known > 0}"), _h(f"{p}sep{close in SEPARATORS}{bool(tail)}"),
+    stray = close in SEPARATORS
+    cmp_ = compare(v, ref, spec.ref, None if stray else whole_item)
+    step = step_of(distance)
+    p = name + "|"
+    few = min(len(words), 12)
+    return [
+        0, 1 + b, 3 + q, STEPS + step, 7 + min(known, 3), 11 + ("none", "whole", "more").index(cmp_), 14 + (close == "�"),
+        16 + (_CLOSED.search(s) is not None), 30 + stray + 2 * tail,
+        _h(p + "close" + close), _h(p + "cmp" + cmp_), _h(f"{p}lim{step}{close == 'A'}{known > 0}"), _h(f"{p}sep{stray}{tail}"),
         _h(p + "w" + word), _h(p + "w2" + " ".join(words[-2:]).lower()), _h(p + "w3" + " ".join(words[-3:]).lower()),
-        _h(p + "lw" + lead + "|" + word), _h(f"{p}ln{words[0] if words else ''}|{min(len(words), 12)}|{close}"),
-        _h(f"{p}l2n{lead}|{min(len(words), 12)}"), _h(f"{p}kn{min(known, 3)}|{close}"),
+        _h(p + "lw" + lead + "|" + word), _h(f"{p}ln{words[0] if words else ''}|{few}|{close}"), _h(f"{p}l2n{lead}|{few}|{min(known, 3)}"),
+        34 + closes, _h(f"{p}cl{closes}|{close}|{few}"), _h(f"{p}cn{closes}|{words[0] if words else ''}|{step}"),
     ]
-    return f
-
 
-def _feature_udf(ref_kinds: dict[str, str]):
-    def rows(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for field, v, ref, at, known in batches:
-            yield pd.Series(
-                [features(a, b, None if c is None or c != c else c, ref_kinds.get(a, "item"), bool(d), int(e)) for a, b, c, d, e in zip(field, v, ref, at, known)]
-            )
 
-    rows.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.Series]}
-    return F.pandas_udf(rows, "array<int>")
+def prior() -> np.ndarray:
+    """Plain weights: no cut; open bracket or quote, unknown last word, torn character, whole or longer fuller text; the last is nearness."""
+    w = np.zeros(DIM + 1)
+    w[[0, 2, 4, 7, 12, 13, 15, 17]] = -2, 4, 3, 1.5, -4, 4, 6, -6
+    w[DIM] = 1.5
+    return w
 
 
 def _untorn(value: str) -> Column:
@@ -168,144 +210,222 @@ def limits(values: DataFrame) -> DataFrame:
     return out.groupBy("field", "source_key").agg(F.max("max_chars").alias("max_chars"), F.max("max_bytes").alias("max_bytes"))
 
 
+def _last_word(value: str) -> Column:
+    return F.rtrim(F.regexp_extract(F.lower(value), TAIL_WORD_SQL, 1), F.lit(".'"))
+
+
 def vocabulary(values: DataFrame) -> DataFrame:
-    """(word, seen): words that other text follows, so that no cut can have touched them."""
-    inner = F.regexp_replace(F.lower("value"), r"[^\s ,;|·/()\[\]\"“”‘’«»]+[^\p{L}]*$", " ")
+    """(word, seen, ends): how often a word has other text behind it, so that no cut can have touched it, and how often it ends a value."""
+    inner = F.regexp_replace(F.lower("value"), r"[^\s ,;|·/()\[\]\"“”‘’«»]+[^\p{L}]*$", " ")
+    inside = F.transform(F.split(inner, r"[\s ,;|·/()\[\]\"“”‘’«».]+"), lambda w: F.struct(w.alias("word"), F.lit(0).alias("last")))
+    at_end = F.array(F.struct(_last_word("value").alias("word"), F.lit(1).alias("last")))
     return (
-        values.select(F.explode(F.split(inner, r"[\s ,;|·/()\[\]\"“”‘’«».]+")).alias("word"))
+        values.select(F.explode(F.concat(inside, at_end)).alias("w")).select("w.*")
         .where("word <> ''")
         .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("seen"))
-        .where("seen >= 2")
+        .agg(F.sum(1 - F.col("last")).alias("seen"), F.sum("last").alias("ends"))
+        .where("seen >= 2 or ends >= 5")
     )
 
 
 def _with_known(df: DataFrame, vocab: DataFrame) -> DataFrame:
-    word = F.rtrim(F.regexp_extract(F.lower("value"), TAIL_WORD_SQL, 1), F.lit(".'"))
-    seen = F.coalesce("__seen", F.lit(0))
+    """Add ``known``: how often the last word stands inside texts, 0 to 3, and ``closes``: how readily it ends them, 0 (rare word) to 5."""
+    seen, ends = F.coalesce("__seen", F.lit(0)), F.coalesce("__ends", F.lit(0))
     level = F.when(seen >= 20, 3).when(seen >= 5, 2).when(seen >= 2, 1).otherwise(0)
-    df = df.withColumn("__tail", word).join(vocab.select(F.col("word").alias("__word"), F.col("seen").alias("__seen")), F.col("__tail") == F.col("__word"), "left")
-    return df.withColumn("known", F.when(F.col("__tail") == "", 2).otherwise(level)).drop("__tail", "__word", "__seen")
-
+    rate = ends / (seen + ends)
+    closing = F.when(seen + ends < 8, 0).when(rate < 0.01, 1).when(rate < 0.05, 2).when(rate < 0.2, 3).when(rate < 0.5, 4).otherwise(5)
+    # values without a last word meet nothing; a key of their own keeps them from meeting in one task
+    df = df.withColumn("__tail", _last_word("value")).withColumn("__key", F.when(F.col("__tail") == "", F.concat(F.lit("\u0001"), F.xxhash64("value").cast("string"))).otherwise(F.col("__tail")))
+    df = df.join(vocab.select(F.col("word").alias("__word"), F.col("seen").alias("__seen"), F.col("ends").alias("__ends")), F.col("__key") == F.col("__word"), "left")
+    df = df.withColumn("known", F.when(F.col("__tail") == "", 2).otherwise(level)).withColumn("closes", F.when(F.col("__tail") == "", 0).otherwise(closing))
+    return df.drop("__tail", "__key", "__word", "__seen", "__ends")
+
+
+# ------------------------------------------------------------------ artificial cuts
+
+
+def _size(v: str, unit: str) -> int:
+    return len(v) if unit == "chars" else len(v.encode("utf-8", "replace"))
+
+
+def _distance(v: str, limit: tuple[str, int] | None) -> int:
+    """Length to a limit, without a closing replacement character; FAR without one or beyond it."""
+    if limit is None:
+        return FAR
+    d = limit[1] - _size(v.rstrip("\ufffd"), limit[0])
+    return d if d >= 0 else FAR
+
+
+def _shortened(v: str, unit: str, limit: int, keep_torn: bool) -> str:
+    if unit == "chars":
+        return v[:limit]
+    return v.encode("utf-8", "replace")[:limit].decode("utf-8", "replace" if keep_torn else "ignore")
+
+
+def _label(full: str, v: str, spec: Field) -> int | None:
+    """1 if ``v`` stops inside something, 0 if it leaves out whole last items, None where that cannot be told."""
+    rest = full[len(v.rstrip("\ufffd")) :]
+    if v[-1:] == "\ufffd":
+        return 1
+    stray = v[-1:] in _ENDS or v[-1:] == "/"
+    if not rest or (stray and not spec.forms):
+        return None
+    if any(_open(v)):
+        return 1
+    return 0 if _GOES_ON.match(rest) and not stray else 1
+
+
+def artificial(full: str, spec: Field, limits: list[tuple[str, int]], seed: int) -> list[tuple[str, int, int]]:
+    """(value, length to limit, label) made of one intact value."""
+    rnd = random.Random(seed)
+    fits = [x for x in limits if _size(full, x[0]) <= x[1]]
+    own = rnd.choice(fits) if fits else None
+    # a complete value may fill its field to the last place
+    if fits and rnd.random() < 0.06:
+        own = (own[0], _size(full, own[0]))
+    out = [(full, _distance(full, own), 0)]
+    bare = full.rstrip()
+    if spec.prose and bare.endswith("."):
+        out.append((bare[:-1], _distance(bare[:-1], own), 0))
+    if not spec.prose and not spec.forms:
+        if rnd.random() < 0.3:
+            stray = full + rnd.choice((",", ";", " ;", "; "))
+            out.append((stray, _distance(stray, own), 0))
+        # single items and beginnings that leave out whole items
+        breaks = [] if _PAIRED.search(full) else [m.start() for m in re.finditer(r"[;,|·\n\t]", full)]
+        if breaks:
+            at = rnd.choice(breaks)
+            for part in (full[breaks[-1] + 1 :].strip(), full[:at].strip()):
+                if part and rnd.random() < 0.5:
+                    out.append((part, _distance(part, own), 0))
+    short = [x for x in limits if 2 <= x[1] < _size(full, x[0])]
+    made = [(_shortened(full, *x, rnd.random() < 0.7), x) for x in rnd.sample(short, min(2, len(short)))]
+    made += [(full[: rnd.randint(2, len(full) - 1)], own) for _ in range(2 if len(full) > 3 else 0)]
+    for v, limit in made:
+        label = _label(full, v, spec)
+        if label is not None and v.strip():
+            out.append((v, _distance(v, limit), label))
+    return out
 
-def _positions(c: Column, salt: int) -> Column:
-    return F.pmod(F.xxhash64(c, F.lit(salt)), F.greatest(F.length(c) - 2, F.lit(1))).cast("int") + 2
 
+def examples(values: DataFrame, fields: dict[str, Field], max_train: int) -> DataFrame:
+    """(field, value, ref, distance, label, part): intact values and their artificial cuts.
 
-def examples(values: DataFrame, ref_kinds: dict[str, str], max_train: int) -> DataFrame:
-    """(field, value, ref, at_limit, label, part): intact values and their artificial cuts."""
-    closed = F.col("value").rlike(r"[.…)]\s*$") & (F.col("field") == "rt_gloss_eng")
-    whole = values.where((F.length("value") >= 4) & ~F.col("at_limit") & (F.col("ref").isNotNull() | closed))
+    Limits to cut at: those found in the sources of the field, and lengths that a half, a quarter and a tenth of
+    its values exceed.
+    """
+    found = values.select("field", F.explode(F.array(*[F.struct(F.lit(u).alias("unit"), F.col(f"max_{u}").alias("n")) for u in ("chars", "bytes")])).alias("x")).select("field", "x.*")
+    known = found.where("n is not null").groupBy("field", "unit", "n").agg(F.count(F.lit(1)).alias("c"))
+    top = Window.partitionBy("field").orderBy(F.desc("c"), "unit", "n")
+    rows = known.withColumn("r", F.row_number().over(top)).where("r <= 20").collect()
+    sizes = values.groupBy("field").agg(*[F.percentile_approx(x, [0.5, 0.75, 0.9], 1000).alias(u) for u, x in (("chars", F.length("value")), ("bytes", F.octet_length("value")))]).collect()
+    limits: dict[str, list[tuple[str, int]]] = {}
+    for r in rows:
+        limits.setdefault(r["field"], []).append((r["unit"], r["n"]))
+    for r in sizes:
+        limits.setdefault(r["field"], []).extend((u, n) for u in ("chars", "bytes") for n in r[u])
+    prose = [k for k, f in fields.items() if f.prose]
+    # by its fuller text, by its end, or, where there is neither, far below any limit
+    spec = lambda name: fields.get(name, Field())
+    no_ref = [k for k, f in fields.items() if f.ref == "none"]
+    away = (F.col("distance") < 0) | (F.col("distance") > 8)
+    ended = F.when(F.col("field").isin(prose), F.col("value").rlike(r"[.…)]\s*$")).otherwise(F.col("field").isin(no_ref) | ~F.col("field").isin(list(fields)) | F.col("ref").isNotNull())
+    whole = values.where((F.length("value") >= 4) & away & ended)
     w = Window.partitionBy("field", "bucket").orderBy("h")
     picked = whole.withColumn("h", F.xxhash64("field", "value")).withColumn("bucket", F.pmod("h", F.lit(64)))
     picked = picked.dropDuplicates(["field", "value"]).withColumn("r", F.row_number().over(w)).where(F.col("r") <= max(max_train // 64, 1))
 
-    @F.pandas_udf("string")
-    def standing(field: pd.Series, v: pd.Series, ref: pd.Series) -> pd.Series:
-        return pd.Series([compare(b, c, ref_kinds.get(a, "item")) for a, b, c in zip(field, v, ref)], dtype="object")
-
-    picked = cut(picked.withColumn("cmp", standing("field", "value", "ref")).where("cmp = 'whole' or field = 'rt_gloss_eng'"))
-    keep = [F.col("field"), F.col("source_key"), F.col("ref")]
-    at_random = lambda salt, p: F.pmod(F.xxhash64("value", F.lit(salt)), F.lit(100)) < p
-    masked = lambda salt: F.when(F.pmod(F.xxhash64("value", F.lit(salt)), F.lit(100)) < 45, F.col("ref")).alias("ref")
-    part = F.pmod("h", F.lit(10)).alias("part")
-    not_cut = F.lit(0).alias("label")
-    # complete values may have any length, that of the limit too
-    by_chance = at_random(5, 15).alias("at_limit")
-    whole_value = lambda v, salt, rows: rows.select("field", "source_key", masked(salt), v.alias("value"), by_chance, not_cut, part)
-    out = whole_value(F.col("value"), 7, picked)
-    out = out.unionByName(whole_value(F.regexp_replace("value", r"\.\s*$", ""), 8, picked.where("field = 'rt_gloss_eng'")))
-    glosses = picked.where("field = 'gloss'")
-    stray_end = F.element_at(F.array(F.lit(","), F.lit(";"), F.lit(" ;"), F.lit("; ")), (F.pmod(F.xxhash64("value", F.lit(6)), F.lit(4)) + 1).cast("int"))
-    out = out.unionByName(whole_value(F.concat("value", stray_end), 9, glosses.where(at_random(10, 30))))
-    out = out.unionByName(whole_value(F.trim(F.regexp_replace("value", r"^.*[;,|·\n\t]", "")), 10, glosses.where(at_random(11, 50) & ~F.col("value").rlike(r'[("“”«»‘’]'))))
-    for salt in (1, 2, 3):
-        k = _positions(F.col("value"), salt)
-        cutting = picked.select(*keep, F.col("value").alias("full"), F.col("h"), F.substring(F.col("value"), F.lit(1), k).alias("value"), F.substring("value", k + 1, F.length("value")).alias("rest"))
-        ends_item = F.col("rest").rlike(r"^\s*[;,|·\n\t]|^\s/\s|^\.\s|^\.?$") & ~F.col("value").rlike(r"[;,|·\s]$")
-        stray = F.col("value").rlike(r"[;,|·\s/]$")
-        # after a separator nothing but a list of forms is open
-        usable = ~stray | (F.col("field") == "reflex")
-        balanced = (F.length(F.regexp_replace("value", r"[^(]", "")) == F.length(F.regexp_replace("value", r"[^)]", ""))) & (
-            F.pmod(F.length(F.regexp_replace("value", r'[^"“”«»]', "")), F.lit(2)) == 0
-        )
-        label = F.when(ends_item & balanced, 0).otherwise(1)
-        cutting = cutting.where(usable & (F.length("rest") > 0)).withColumn("label", label)
-        limit = F.when(F.col("label") == 1, at_random(11 + salt, 60)).otherwise(at_random(21 + salt, 20))
-        # a cut between the bytes of a character leaves a replacement character
-        torn = F.when((F.col("label") == 1) & at_random(40 + salt, 6), F.concat("value", F.lit("\ufffd"))).otherwise(F.col("value"))
-        out = out.unionByName(cutting.select("field", "source_key", masked(30 + salt), torn.alias("value"), limit.alias("at_limit"), "label", F.pmod("h", F.lit(10)).alias("part")))
-    return out
+    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for name, v, ref, h in zip(b["field"], b["value"], b["ref"], b["h"]):
+                f, ref = spec(name), ref if isinstance(ref, str) else None
+                if f.ref != "none" and ref is not None and compare(v, ref, f.ref) != "whole":
+                    continue
+                for i, (x, d, label) in enumerate(artificial(v, f, limits.get(name, []), int(h))):
+                    # most values have no fuller text, so part of the examples goes without
+                    shown = ref if zlib.crc32(f"{h}|{i}".encode()) % 100 < 45 else None
+                    out.append((name, x, shown, d, label, int(h) % 10))
+            yield pd.DataFrame(out, columns=["field", "value", "ref", "distance", "label", "part"])
+
+    return picked.select("field", "value", "ref", "h").mapInPandas(make, "field string, value string, ref string, distance int, label int, part int")
+
+
+# ------------------------------------------------------------------ model
 
 
-def fit(x: np.ndarray, y: np.ndarray, epochs: int = 14, rate: float = 0.3, l2: float = 1e-5) -> np.ndarray:
-    """AdaGrad on hashed binary features; x holds the indices, one row an example."""
-    weights, squares = np.zeros(DIM), np.full(DIM, 1e-2)
+def fit(x: np.ndarray, near: np.ndarray, y: np.ndarray, epochs: int = 14, rate: float = 0.3, l2: float = 1e-5) -> np.ndarray:
+    """AdaGrad from the plain weights; x holds indices of binary features, one row an example, near the nearness to the limit."""
+    start = prior()
+    weights, squares = start.copy(), np.full(DIM + 1, 1e-2)
     order = np.random.default_rng(7)
     n = len(y)
     # far more values are whole than cut
-    balance = np.where(y == 1, n / max(4 * y.sum(), 1), 3 * n / max(4 * (n - y.sum()), 1))
+    balance = np.where(y == 1, CUT_SHARE * n / max(y.sum(), 1), (1 - CUT_SHARE) * n / max(n - y.sum(), 1))
     for _ in range(epochs if n else 0):
         idx = order.permutation(n)
         for a in range(0, n, 256):
             b = idx[a : a + 256]
-            z = weights[x[b]].sum(axis=1)
+            z = weights[x[b]].sum(axis=1) + weights[DIM] * near[b]
             g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[b]) * balance[b] / len(b) * 16
             flat = x[b].ravel()
-            grad = np.bincount(flat, np.repeat(g, x.shape[1]), DIM)
-            touched = np.unique(flat)
-            grad = grad[touched] + l2 * weights[touched]
+            grad = np.bincount(flat, np.repeat(g, x.shape[1]), DIM + 1)
+            grad[DIM] = g @ near[b]
+            touched = np.append(np.unique(flat), DIM)
+            grad = grad[touched] + l2 * (weights[touched] - start[touched])
             squares[touched] += grad**2
             weights[touched] -= rate * grad / np.sqrt(squares[touched])
     return weights
 
 
-def prior() -> np.ndarray:
-    w = np.zeros(DIM)
-    w[[0, 2, 4, 6, 7, 12, 13, 15, 17]] = -2, 4, 3, 1.5, 1.5, -4, 4, 6, -6
-    return w
+INPUTS = ("field", "value", "ref", "distance", "known", "closes")
+
+
+def _matrix(b: pd.DataFrame, fields: dict[str, Field]) -> tuple[np.ndarray, np.ndarray]:
+    rows = [
+        features(name, fields.get(name) or Field(), v, ref if isinstance(ref, str) else None, d, k, c)
+        for name, v, ref, d, k, c in zip(*[b[x].tolist() for x in INPUTS])
+    ]
+    return np.array(rows, dtype=np.int64).reshape(-1, N_FEATURES), np.array([nearness(d) for d in b["distance"].tolist()])
 
 
-def train(values: DataFrame, vocab: DataFrame, ref_kinds: dict[str, str], max_train: int = 6_400) -> tuple[np.ndarray, float]:
-    """(weights, held-out accuracy on artificial cuts); a tenth of the values is held out."""
-    made = _with_known(examples(values, ref_kinds, max_train), vocab)
-    udf = _feature_udf(ref_kinds)
-    rows = made.select(udf("field", "value", "ref", "at_limit", "known").alias("x"), "label", "part").toPandas()
-    if rows.empty or rows["label"].nunique() < 2:
-        return prior(), float("nan")
-    x, y, held = np.array(rows["x"].tolist()), rows["label"].to_numpy(float), rows["part"].to_numpy() == 0
-    weights = fit(x[~held], y[~held])
-    guess = weights[x[held]].sum(axis=1) > 0
+def train(values: DataFrame, vocab: DataFrame, fields: dict[str, Field], max_train: int = 6_400) -> tuple[np.ndarray, float]:
+    """(weights, held-out accuracy on artificial cuts); a tenth of the values is held out.
+
+    Without examples the plain weights stay.
+    """
+    made = _with_known(examples(values, fields, max_train), vocab).toPandas()
+    x, near = _matrix(made, fields)
+    y, held = made["label"].to_numpy(float), made["part"].to_numpy() == 0
+    weights = fit(x[~held], near[~held], y[~held])
+    guess = weights[x[held]].sum(axis=1) + weights[DIM] * near[held] > 0
     return weights, float((guess == y[held]).mean()) if held.any() else float("nan")
 
 
 def prepare(values: DataFrame) -> DataFrame:
-    """Drop blank values and tell which stand at the limit of their source."""
-    values = values.where(F.length(F.trim("value")) > 0)
-    values = cut(values)
-    lim = limits(values)
-    at = F.col("__chars").isin(F.length("value"), F.length(_untorn("value"))) | F.octet_length(_untorn("value")).between(F.col("__bytes") - 1, F.col("__bytes"))
-    lim = broadcast_if_small(lim).toDF("__field", "__source", "__chars", "__bytes")
-    joined = values.join(lim, (F.col("field") == F.col("__field")) & F.col("source_key").eqNullSafe(F.col("__source")), "left")
-    return joined.withColumn("at_limit", F.coalesce(at, F.lit(False))).drop("__field", "__source", "__chars", "__bytes")
-
-
-def score(values: DataFrame, ref_kinds: dict[str, str], max_train: int = 6_400) -> tuple[DataFrame, float]:
-    """Add ``probability`` that the value was cut.  values: field, source_key, value, ref and others."""
+    """Drop blank values and add max_chars, max_bytes and distance: the length to the limit of the source, -1 without or beyond one."""
+    values = cut(values.where(F.length(F.trim("value")) > 0))
+    lim = broadcast_if_small(limits(values)).toDF("__field", "__source", "max_chars", "max_bytes")
+    joined = values.drop("max_chars", "max_bytes").join(lim, (F.col("field") == F.col("__field")) & F.col("source_key").eqNullSafe(F.col("__source")), "left")
+    left = [F.col("max_chars") - F.length(_untorn("value")), F.col("max_bytes") - F.octet_length(_untorn("value"))]
+    distance = F.least(*[F.when(x >= 0, x) for x in left])
+    return joined.withColumn("distance", F.coalesce(distance, F.lit(FAR)).cast("int")).drop("__field", "__source")
+
+
+def score(values: DataFrame, fields: dict[str, Field], max_train: int = 6_400) -> tuple[DataFrame, float]:
+    """(values with ``probability`` that they were cut, held-out accuracy).  values: field, source_key, value, ref and others."""
     ready = prepare(values)
     vocab = broadcast_if_small(vocabulary(ready))
-    weights, held_out = train(ready, vocab, ref_kinds, max_train)
-    table = weights.tolist()
+    weights, held_out = train(ready, vocab, fields, max_train)
+    shared = values.sparkSession.sparkContext.broadcast(weights)
 
     def rows(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for field, v, ref, at, known in batches:
-            z = [
-                sum([table[i] for i in features(a, b, None if c is None or c != c else c, ref_kinds.get(a, "item"), bool(d), int(e))])
-                for a, b, c, d, e in zip(field, v, ref, at, known)
-            ]
-            yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(z, dtype=float), -30, 30))))
+        w = shared.value
+        for columns in batches:
+            x, near = _matrix(pd.DataFrame(dict(zip(INPUTS, columns))), fields)
+            z = w[x].sum(axis=1) + w[DIM] * near
+            yield pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
     rows.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.Series]}
     probability = F.pandas_udf(rows, "double")
-    scored = _with_known(ready, vocab).withColumn("probability", probability("field", "value", "ref", "at_limit", "known"))
-    return scored, held_out
+    return _with_known(ready, vocab).withColumn("probability", probability(*INPUTS)), held_out
