@@ -3,7 +3,10 @@
 Every node carries a pointer to an ancestor and the path segment between the two.
 A round joins each unresolved pointer with the pointer of its target, which doubles
 the distance covered and concatenates the segments, so depth ``d`` takes
-``log2(d)`` rounds.  Nodes whose pointer has reached a root leave the working set.
+``log2(d)`` rounds.  Nodes whose pointer has reached a root leave the working set, and a round
+reads of all nodes only those that are targets of the open pointers.  Few targets are broadcast, so nodes
+that share one (all under one root, all hanging on one loop) stay where they are; of many, the
+frequent ones are spread over tasks.
 Nodes that never reach one hang on a loop; because ``f^m`` maps the unresolved set onto
 the loops once ``m`` exceeds the longest tail, the set of pointer targets stops
 shrinking exactly when it equals the nodes lying on loops themselves.
@@ -25,7 +28,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stemma.session import cut
+from stemma.session import cut, is_small, spread_join
+
+#: Target ids of a round that are broadcast to find their pointers.
+FEW = 100_000
 
 BLANKS = " \t\r\n\u00a0"
 
@@ -65,9 +71,8 @@ def nodes_of(df: DataFrame, scope: str, key: str, parent: str, row_id: str) -> D
     status = (
         F.when(F.col("parent_key").isNull(), "none").when(F.col("parent_node").isNull(), "missing").otherwise("found")
     )
-    return one.join(
-        target, (F.col("scope_") == F.col("t_scope")) & (F.col("parent_key") == F.col("t_key")), "left"
-    ).select("node", "parent_node", "scope_", "key_", status.alias("parent_status"))
+    found = spread_join(one, target, [("scope_", "t_scope"), ("parent_key", "t_key")], ["node"])
+    return found.select("node", "parent_node", "scope_", "key_", status.alias("parent_status"))
 
 
 def resolve(nodes: DataFrame, with_paths: bool = True, max_rounds: int = 64) -> tuple[DataFrame, DataFrame]:
@@ -82,23 +87,22 @@ def resolve(nodes: DataFrame, with_paths: bool = True, max_rounds: int = 64) ->
     open_ = nodes.where("parent_node is not null").select(
         "node", F.col("parent_node").alias("anc"), (F.array("node") if with_paths else none).alias("segment")
     )
-    resolved = roots
-    before = None
+    resolved, before = roots, None
     for _ in range(max_rounds):
+        per_target = open_.groupBy("anc").agg(F.count(F.lit(1)).alias("c"))
+        now = per_target.agg(F.sum("c"), F.count(F.lit(1))).first()
+        if not now[0] or now == before:
+            break
+        before = now
+        few = now[1] <= FEW
+        targets = per_target.select(F.col("anc").alias("target"))
         # a resolved target hands over its root, an open one the whole jump it knows
         jump = resolved.withColumn("done", F.lit(True)).unionByName(open_.withColumn("done", F.lit(False)))
-        jump = jump.toDF("j_node", "j_anc", "j_segment", "done")
-        step = cut(
-            open_.join(jump, F.col("anc") == F.col("j_node")).select(
-                "node", F.col("j_anc").alias("anc"), F.concat("segment", "j_segment").alias("segment"), "done"
-            )
-        )
+        jump = cut(jump.join(F.broadcast(targets) if few else targets, F.col("node") == F.col("target"), "left_semi").toDF("j_node", "j_anc", "j_segment", "done"))
+        met = open_.join(F.broadcast(jump), F.col("anc") == F.col("j_node")) if is_small(jump) else spread_join(open_, jump, [("anc", "j_node")], ["node"], "inner")
+        step = cut(met.select("node", F.col("j_anc").alias("anc"), F.concat("segment", "j_segment").alias("segment"), "done"))
         resolved = resolved.unionByName(step.where("done").drop("done"))
         open_ = step.where("not done").drop("done")
-        now = open_.agg(F.count(F.lit(1)), F.count_distinct("anc")).first()
-        if now[0] == 0 or now == before:
-            break
-        before = now
     return resolved, open_.select("node", "anc")
 
 
@@ -111,6 +115,9 @@ def loop_nodes(nodes: DataFrame) -> DataFrame:
 def hierarchy(nodes: DataFrame) -> DataFrame:
     """(node, root, depth, path, n_below, state) for every node.
 
+    ``n_below`` counts the places of a node in the paths of others, as many as the paths themselves hold,
+    summed before they are shuffled.
+
     ``path`` lists node ids from the root to the node; ``state`` is ``tree``, ``loop`` or
     ``below_loop``; the last two have null root, depth, path and n_below.
     """
