@@ -217,11 +217,12 @@ def _last_word(value: str) -> Column:
 def vocabulary(values: DataFrame) -> DataFrame:
     """(word, seen, ends): how often a word has other text behind it, so that no cut can have touched it, and how often it ends a value."""
     inner = F.regexp_replace(F.lower("value"), r"[^\s ,;|·/()\[\]\"“”‘’«»]+[^\p{L}]*$", " ")
-    inside = F.transform(F.split(inner, r"[\s ,;|·/()\[\]\"“”‘’«».]+"), lambda w: F.struct(w.alias("word"), F.lit(0).alias("last")))
-    at_end = F.array(F.struct(_last_word("value").alias("word"), F.lit(1).alias("last")))
+    # the last word stands behind a sign no text has, so that one list holds both
+    marked = F.concat_ws(" ", inner, F.concat(F.lit("\u0002"), _last_word("value")))
+    words = values.select(F.explode(F.split(marked, r"[\s ,;|·/()\[\]\"“”‘’«».]+")).alias("word"))
+    words = words.select(F.ltrim("word", F.lit("\u0002")).alias("word"), F.col("word").startswith("\u0002").cast("int").alias("last"))
     return (
-        values.select(F.explode(F.concat(inside, at_end)).alias("w")).select("w.*")
-        .where("word <> ''")
+        words.where("word <> ''")
         .groupBy("word")
         .agg(F.sum(1 - F.col("last")).alias("seen"), F.sum("last").alias("ends"))
         .where("seen >= 2 or ends >= 5")
@@ -308,16 +309,15 @@ def artificial(full: str, spec: Field, limits: list[tuple[str, int]], seed: int)
     return out
 
 
-def examples(values: DataFrame, fields: dict[str, Field], max_train: int) -> DataFrame:
+def examples(values: DataFrame, lim: DataFrame, fields: dict[str, Field], max_train: int) -> DataFrame:
     """(field, value, ref, distance, label, part): intact values and their artificial cuts.
 
     Limits to cut at: those found in the sources of the field, and lengths that a half, a quarter and a tenth of
     its values exceed.
     """
-    found = values.select("field", F.explode(F.array(*[F.struct(F.lit(u).alias("unit"), F.col(f"max_{u}").alias("n")) for u in ("chars", "bytes")])).alias("x")).select("field", "x.*")
-    known = found.where("n is not null").groupBy("field", "unit", "n").agg(F.count(F.lit(1)).alias("c"))
+    known = [lim.where(f"max_{u} is not null").groupBy("field", F.col(f"max_{u}").alias("n")).agg(F.count(F.lit(1)).alias("c")).withColumn("unit", F.lit(u)) for u in ("chars", "bytes")]
     top = Window.partitionBy("field").orderBy(F.desc("c"), "unit", "n")
-    rows = known.withColumn("r", F.row_number().over(top)).where("r <= 20").collect()
+    rows = known[0].unionByName(known[1]).withColumn("r", F.row_number().over(top)).where("r <= 20").collect()
     sizes = values.groupBy("field").agg(*[F.percentile_approx(x, [0.5, 0.75, 0.9], 1000).alias(u) for u, x in (("chars", F.length("value")), ("bytes", F.octet_length("value")))]).collect()
     limits: dict[str, list[tuple[str, int]]] = {}
     for r in rows:
@@ -389,12 +389,12 @@ def _matrix(b: pd.DataFrame, fields: dict[str, Field]) -> tuple[np.ndarray, np.n
     return np.array(rows, dtype=np.int64).reshape(-1, N_FEATURES), np.array([nearness(d) for d in b["distance"].tolist()])
 
 
-def train(values: DataFrame, vocab: DataFrame, fields: dict[str, Field], max_train: int = 6_400) -> tuple[np.ndarray, float]:
+def train(values: DataFrame, lim: DataFrame, vocab: DataFrame, fields: dict[str, Field], max_train: int = 6_400) -> tuple[np.ndarray, float]:
     """(weights, held-out accuracy on artificial cuts); a tenth of the values is held out.
 
     Without examples the plain weights stay.
     """
-    made = _with_known(examples(values, fields, max_train), vocab).toPandas()
+    made = _with_known(examples(values, lim, fields, max_train), vocab).toPandas()
     x, near = _matrix(made, fields)
     y, held = made["label"].to_numpy(float), made["part"].to_numpy() == 0
     weights = fit(x[~held], near[~held], y[~held])
@@ -402,21 +402,26 @@ def train(values: DataFrame, vocab: DataFrame, fields: dict[str, Field], max_tra
     return weights, float((guess == y[held]).mean()) if held.any() else float("nan")
 
 
-def prepare(values: DataFrame) -> DataFrame:
-    """Drop blank values and add max_chars, max_bytes and distance: the length to the limit of the source, -1 without or beyond one."""
-    values = cut(values.where(F.length(F.trim("value")) > 0))
-    lim = broadcast_if_small(limits(values)).toDF("__field", "__source", "max_chars", "max_bytes")
-    joined = values.drop("max_chars", "max_bytes").join(lim, (F.col("field") == F.col("__field")) & F.col("source_key").eqNullSafe(F.col("__source")), "left")
-    left = [F.col("max_chars") - F.length(_untorn("value")), F.col("max_bytes") - F.octet_length(_untorn("value"))]
+def not_blank(values: DataFrame) -> DataFrame:
+    return cut(values.where(F.length(F.trim("value")) > 0))
+
+
+def prepare(values: DataFrame, lim: DataFrame) -> DataFrame:
+    """Add distance: the length to the limit of the source, -1 without or beyond one.  lim: of ``limits``."""
+    known = lim.toDF("__field", "__source", "__chars", "__bytes")
+    joined = values.join(known, (F.col("field") == F.col("__field")) & F.col("source_key").eqNullSafe(F.col("__source")), "left")
+    left = [F.col("__chars") - F.length(_untorn("value")), F.col("__bytes") - F.octet_length(_untorn("value"))]
     distance = F.least(*[F.when(x >= 0, x) for x in left])
-    return joined.withColumn("distance", F.coalesce(distance, F.lit(FAR)).cast("int")).drop("__field", "__source")
+    return joined.withColumn("distance", F.coalesce(distance, F.lit(FAR)).cast("int")).drop("__field", "__source", "__chars", "__bytes")
 
 
 def score(values: DataFrame, fields: dict[str, Field], max_train: int = 6_400) -> tuple[DataFrame, float]:
     """(values with ``probability`` that they were cut, held-out accuracy).  values: field, source_key, value, ref and others."""
-    ready = prepare(values)
-    vocab = broadcast_if_small(vocabulary(ready))
-    weights, held_out = train(ready, vocab, fields, max_train)
+    kept = not_blank(values)
+    lim = broadcast_if_small(limits(kept))
+    ready = prepare(kept, lim)
+    vocab = broadcast_if_small(vocabulary(kept))
+    weights, held_out = train(ready, lim, vocab, fields, max_train)
     shared = values.sparkSession.sparkContext.broadcast(weights)
 
     def rows(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:

@@ -52,7 +52,7 @@ def test_limits_below_stragglers(spark):
     df = spark.createDataFrame([("gloss", s, v, None) for s, v in rows], "field string, source_key string, value string, ref string")
     got = {r.source_key: (r.max_chars, r.max_bytes) for r in T.limits(df).collect()}
     assert got["bytes"][1] == 60 and got["torn"][1] == 60 and got[None][1] == 60 and got["chars"] == (60, None)
-    ready = T.prepare(df)
+    ready = T.prepare(df, T.limits(df))
     at = ready.where("distance = 0 and octet_length(value) >= 59").groupBy("source_key").count()
     assert {r.source_key: r["count"] for r in at.collect()} == {"bytes": 32, "torn": 37, None: 32, "chars": 40}
     assert ready.where("length(value) < 50 and distance <> (case when source_key = 'chars' then 60 - length(value) else 60 - octet_length(value) end)").count() == 0
