@@ -75,17 +75,17 @@ def nodes_of(df: DataFrame, scope: str, key: str, parent: str, row_id: str) -> D
     return found.select("node", "parent_node", "scope_", "key_", status.alias("parent_status"))
 
 
-def resolve(nodes: DataFrame, with_paths: bool = True, max_rounds: int = 64) -> tuple[DataFrame, DataFrame]:
+def resolve(nodes: DataFrame, max_rounds: int = 64) -> tuple[DataFrame, DataFrame]:
     """Return (resolved, unresolved).
 
     resolved: (node, anc, segment) where ``anc`` is the root and ``segment`` the node ids from
-    the node up to, not including, the root (empty without ``with_paths``).
+    the node up to, not including, the root.
     unresolved: (node, anc) for the nodes whose chain never ends, ``anc`` on the loop.
     """
     none = F.array().cast("array<bigint>")
     roots = nodes.where("parent_node is null").select("node", F.col("node").alias("anc"), none.alias("segment"))
     open_ = nodes.where("parent_node is not null").select(
-        "node", F.col("parent_node").alias("anc"), (F.array("node") if with_paths else none).alias("segment")
+        "node", F.col("parent_node").alias("anc"), F.array("node").alias("segment")
     )
     resolved, before = roots, None
     for _ in range(max_rounds):
@@ -106,9 +106,27 @@ def resolve(nodes: DataFrame, with_paths: bool = True, max_rounds: int = 64) ->
     return resolved, open_.select("node", "anc")
 
 
-def loop_nodes(nodes: DataFrame) -> DataFrame:
-    """(node): every node that lies on a loop of parents itself."""
-    _, open_ = resolve(nodes, with_paths=False)
+def loop_nodes(nodes: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """(node): every node that lies on a loop of parents itself.
+
+    Here only open pointers are joined: one whose target is not open any more has met a root and goes.
+    """
+    open_ = nodes.where("parent_node is not null").select("node", F.col("parent_node").alias("anc"))
+    before = None
+    for _ in range(max_rounds):
+        per_target = open_.groupBy("anc").agg(F.count(F.lit(1)).alias("c"))
+        now = per_target.agg(F.sum("c"), F.count(F.lit(1))).first()
+        if not now[0] or now == before:
+            break
+        before = now
+        jump = open_.toDF("j_node", "j_anc")
+        if now[1] <= FEW:
+            # two numbers for each of few targets
+            jump = F.broadcast(jump.join(F.broadcast(per_target.select(F.col("anc").alias("target"))), F.col("j_node") == F.col("target"), "left_semi"))
+            met = open_.join(jump, F.col("anc") == F.col("j_node"))
+        else:
+            met = spread_join(open_, jump, [("anc", "j_node")], ["node"], "inner")
+        open_ = cut(met.select("node", F.col("j_anc").alias("anc")))
     return open_.select(F.col("anc").alias("node")).distinct()
 
 

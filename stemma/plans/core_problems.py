@@ -75,6 +75,11 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return _packed(spark, sf, 2).select("field_name", "lang", "row_id", "item_pos", "item").distinct()
 
 
+def p3_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Every item of every field, single ones too, with the error flag of its field."""
+    return _packed(spark, sf, 1).distinct()
+
+
 def p3_flags(spark: SparkSession, sf: str) -> DataFrame:
     """How many fields of each kind and number of items parsed with which flag."""
     items = _packed(spark, sf, 1)
@@ -85,34 +90,55 @@ def p3_flags(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- nested records
 
 
+# fixed values: the tables asked for, by schema path
+_KINDS = {
+    "senses_json": "sense", "senses_json.cit": "sense_cit", "citations_json": "citation",
+    "translations_json": "translation", "translations_json.alt": "translation_alt",
+}
+_NESTED = ["senses_json", "citations_json", "translations_json"]
+
+
+def _records(spark: SparkSession, sf: str, with_content: bool) -> DataFrame:
+    flat = nested.flatten(table(spark, sf, "lsj_part18_flat_01"), "global_index", _NESTED, frozenset(["sub"]), frozenset(_KINDS), with_content)
+    kind = F.create_map(*[F.lit(x) for k in _KINDS.items() for x in k])[F.col("schema_path")]
+    return flat.where("node_type in ('object', 'text')").withColumn("record_kind", kind)
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    flat = nested.flatten(table(spark, sf, "lsj_part18_flat_01"), "global_index", with_content=False)
-    return flat.select("global_index", "record_kind", "record_path", "parent_path").distinct()
+    return _records(spark, sf, False).select("global_index", "record_kind", "record_path", "parent_path").distinct()
 
 
 def p6_records(spark: SparkSession, sf: str) -> DataFrame:
     """All records with their content, flat fields taken out of the record."""
-    flat = nested.flatten(table(spark, sf, "lsj_part18_flat_01"), "global_index").distinct()
-    field = lambda f: F.get_json_object("record_json", f"$.{f}")
-    is_text = F.col("record_json").startswith('"')
+    flat = _records(spark, sf, True).distinct()
+    fields = F.from_json("content", "map<string,string>")
+    is_text = F.col("node_type") == "text"
     return flat.select(
         "global_index", "record_kind", "record_path", "parent_path",
-        F.when(is_text, F.from_json(F.concat(F.lit('{"t":'), "record_json", F.lit("}")), "t string")["t"])
-        .otherwise(F.coalesce(field("def"), field("text"), field("quote")))
+        F.when(is_text, F.from_json(F.concat(F.lit('{"t":'), "content", F.lit("}")), "t string")["t"])
+        .otherwise(F.coalesce(fields["def"], fields["text"], fields["quote"]))
         .alias("record_text"),
-        F.when(~is_text, field("n")).alias("sense_number"),
-        F.when(~is_text, F.coalesce(field("biblio.author"), field("biblio"))).alias("source"),
+        F.when(~is_text, fields["n"]).alias("sense_number"),
+        F.when(~is_text, F.coalesce(fields["biblio.author"], fields["biblio"])).alias("source"),
     )
 
 
+def p6_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Every schema path that the nested columns hold, whatever its fields are called, with its nodes; broken columns too."""
+    flat = nested.flatten(table(spark, sf, "lsj_part18_flat_01"), "global_index", [*_NESTED, "etymologies_json", "biblio_json", "gramgrp_json", "xrefs_json"], frozenset(["sub"]), None, False)
+    return nested.schema_paths(flat)
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_hierarchy": p1_hierarchy,
     "p1_descendants": p1_descendants,
     "p3_found": p3_found,
+    "p3_items": p3_items,
     "p3_flags": p3_flags,
     "p6_found": p6_found,
     "p6_records": p6_records,
+    "p6_tables": p6_tables,
 }
 
 _NODES = r"""

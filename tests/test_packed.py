@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -21,6 +23,9 @@ from stemma.operators import packed
         ("a, b (c, d", ["a", "b (c, d"], "open_bracket"),
         ('a; "b, c', ["a", '"b, c'], "open_quote"),
         ("((a, b); c) | d", ["((a, b); c)", "d"], ""),
+        ("a, “b, c\", d", ["a", "b, c", "d"], "mixed_quote"), ('"b; c”; d', ["b; c", "d"], "mixed_quote"), ("«x, y\" / z", ["x, y", "z"], "mixed_quote"),
+        ('a " b, c', ['a " b', "c"], "stray_quote"), ("a; “, b", ["a", "“", "b"], "stray_quote"), ('a, "b, c, d', ["a", '"b, c, d'], "open_quote"),
+        ('a (b, "c, d), e', ["a (b, \"c, d)", "e"], ""), ('"a, b" x, "c', ['"a, b" x', '"c'], "open_quote"),
         ("don't, 'x, y'", ["don't", "'x", "y'"], ""),
     ],
 )
@@ -38,6 +43,10 @@ def test_no_letter_is_lost(s):
 def test_long_value():
     assert len(packed.parse("x; " * 200_000)[0]) == 200_000
     assert packed.parse("(" * 50_000)[1] == "open_bracket"
+    began = time.time()
+    assert packed.parse("(" + ' "a' * 100_001 + ")")[1] == "" and packed.parse(' " ' * 100_001)[1] in ("", "stray_quote")
+    assert packed.parse("(" + " “a" * 200_000)[1] == "open_bracket" and packed.parse("“ x " * 100_000)[1] == "stray_quote"
+    assert time.time() - began < 10
 
 
 def test_rows(spark):
