@@ -3,12 +3,15 @@
 Values whose characters are all standard already and cannot interact (the quick check of
 normalization forms, extended by look-alikes) are passed on.  Of the others every distinct value is
 exploded to positioned code points, joined with a broadcast table of decompositions, look-alikes,
-invisible characters, blanks and hyphens, its combining marks are ordered by class inside each
-cluster, clusters are recomposed and the string is rebuilt.
+invisible characters, blanks and hyphens of all planes, its combining marks are ordered by class inside each
+cluster, clusters are recomposed and the string is rebuilt.  Look-alikes are the public confusables of
+Unicode, as the library of characters inside Spark carries them: a letter of another script that shares its
+skeleton with one letter of the value's alphabet stands for that letter.  A short list beside it holds what
+is alike in print only, and which of two letters is meant.
 
 Standard spelling: canonical composition; nothing invisible; plain blanks, none at the ends; plain
-hyphens; full-width forms and typographic ligatures as plain letters; letters of the alphabet the
-value belongs to.  Raised letters, marks without a joined character, and ъ ь stay.
+hyphens; full-width, half-width and mathematical forms, long s and typographic ligatures as plain letters; letters
+of the alphabet the value belongs to.  Raised letters, marks without a joined character, and ъ ь stay.
 
 The alphabet is Greek if the value has letters only Greek has, or if its language is written in Greek
 and it has no letter only Latin has; otherwise it is Latin.
@@ -29,7 +32,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# fixed values: letters that look alike, foreign letter -> letter of the alphabet
+from stemma.session import spread_join
+
+# fixed values: letters that look alike in print or whose case is to be chosen, foreign letter -> letter of the alphabet
 LATIN_TWINS = {
     # Cyrillic
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "х": "x", "у": "y", "і": "i", "ѕ": "s", "ј": "j",
@@ -55,46 +60,97 @@ GREEK_TWINS = {
 #: Greek letters that have a Latin twin prove nothing about the alphabet.
 NO_PROOF_OF_GREEK = "υνοϸ"
 HYPHENS = "\u2010\u2011\u2012\u2013\u2014\u2015\u2212\ufe63\uff0d\u2043"
-INVISIBLE = "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b\u180c\u180d\u180e\u200b\u200c\u200d\u200e\u200f\u202a\u202b\u202c\u202d\u202e\u2060\u2061\u2062\u2063\u2064\u2066\u2067\u2068\u2069\u206a\u206b\u206c\u206d\u206e\u206f\ufeff\u3164\uffa0"
+#: Invisible characters besides those of the format category, and the visible ones in that category.
+INVISIBLE = "\u034f\u115f\u1160\u17b4\u17b5\u180b\u180c\u180d\u180f\u3164\uffa0"
+VISIBLE_FORMAT = (range(0x600, 0x606), range(0x6DD, 0x6DE), range(0x70F, 0x710), range(0x890, 0x892), range(0x8E2, 0x8E3), range(0x110BD, 0x110CE), range(0x13430, 0x13460))
+SELECTORS = (range(0xFE00, 0xFE10), range(0xE0100, 0xE01F0))
+#: Kinds of decomposition that change how a character is drawn only.
+DRAWN = ("<font>", "<wide>", "<narrow>", "<noBreak>")
+#: Standard letters of another script.
+KEPT = "ъьЪЬ"
 GREEK_LANGUAGES = ("Gk.",)
 
 _EDGE = r"^\s|\s$"
 #: Characters that stand for themselves in Latin words: ASCII, precomposed letters, raised letters, yers.
 _LATIN_SAFE = (
-    r"^[ -~¡-¬®-´¶-İĲ-ǃǍ-ǰǴ-ɐɒ-ɠɢ-ɨɪ-ʸḀ-ỿъьЪЬ]*$"
+    r"^[ -~¡-¬®-´¶-İĲ-žƀ-ǃǍ-ǰǴ-ɐɒ-ɠɢ-ɨɪ-ʸḀ-ỿъьЪЬ]*$"
 )
 _GREEK_SAFE = r"^[ -@\[-`{-~Ͱ-ͳͶͷͻ-ͽΆΈ-ϖἀ-ἕἘ-Ἕἠ-ὅὈ-Ὅὐ-ὗὙ-ὰὲὴὶὸὺὼᾀ-ᾴᾶ-Ὰῂ-ῄῆ-ῈῊ]*$"
 _GREEK_ONLY = r"(?=[Ͱ-Ͽἀ-῿])[^" + NO_PROOF_OF_GREEK + "αρικχγϳΑΒΕΖΗΙΚΜΝΟΡΤΥΧϷϿ" + r"]"
 _LATIN_ONLY = r"(?i)[bcdefghjlmqrstzæœøðþ]"
 
 
+def _plain_form(c: str) -> str | None:
+    """What stands for a character in any alphabet; None for itself."""
+    cp = ord(c)
+    kind = ud.category(c)
+    if c in INVISIBLE or any(cp in r for r in SELECTORS) or (kind == "Cf" and not any(cp in r for r in VISIBLE_FORMAT)):
+        return ""
+    if c in HYPHENS:
+        return "-"
+    if kind in ("Zs", "Zl", "Zp") or c in "\t\n\r\v\f\x85":
+        return " "
+    if kind == "Cc":
+        return ""
+    drawn = ud.decomposition(c).split(" ")
+    if drawn[0] in DRAWN or c == "ſ" or 0xFB00 <= cp <= 0xFB06:
+        return ud.normalize("NFKD", c)
+    d = ud.normalize("NFD", c)
+    return d if d != c else None
+
+
 @lru_cache(maxsize=1)
-def _code_points() -> list[tuple[str, str, str]]:
-    rows = []
-    both: dict[str, str] = {}
-    for cp in range(0x80, min(sys.maxunicode, 0x2FFFF) + 1):
-        if 0xAC00 <= cp <= 0xD7A3 or 0xD800 <= cp <= 0xDFFF:
+def _plain_forms() -> dict[str, str]:
+    out = {}
+    for cp in range(sys.maxunicode + 1):
+        if cp == 0x20 or 0xAC00 <= cp <= 0xD7A3 or 0xD800 <= cp <= 0xDFFF:
             continue
-        c = chr(cp)
-        if c in INVISIBLE or 0xFE00 <= cp <= 0xFE0F:
-            both[c] = ""
-        elif c in HYPHENS:
-            both[c] = "-"
-        elif ud.category(c) == "Zs":
-            both[c] = " "
-        elif 0xFF01 <= cp <= 0xFF5E:
-            both[c] = chr(cp - 0xFEE0)
-        elif 0xFB00 <= cp <= 0xFB06:
-            both[c] = ud.normalize("NFKD", c)
-        else:
-            d = ud.normalize("NFD", c)
-            if d != c:
-                both[c] = d
-    for c in "\t\n\r\v\f":
-        both[c] = " "
+        form = _plain_form(chr(cp))
+        if form is not None:
+            out[chr(cp)] = form
+    return out
+
+
+def _script(c: str) -> str:
+    return ud.name(c, "").partition(" ")[0]
+
+
+def confusables(spark: SparkSession) -> dict[str, dict[str, str]]:
+    """alphabet -> letter of another script -> letter of the alphabet with the same skeleton and case.
+
+    A skeleton that several letters of the alphabet share tells nothing and is left out.
+    """
+    jvm = spark.sparkContext._jvm
+    checker = getattr(jvm, "com.ibm.icu.text.SpoofChecker$Builder")().build()
+    ends = (range(0x41, 0x590), range(0x10A0, 0x1400), range(0x1C80, 0x1CC0), range(0x2C00, 0x2E00), range(0xA4D0, 0xA500), range(0xA640, 0xA6A0), range(0xA720, 0xAC00), range(0x10280, 0x10600), range(0x16E40, 0x16EA0), range(0x1E000, 0x1E100))
+    letters = [chr(cp) for r in ends for cp in r if ud.category(chr(cp)) in ("Lu", "Ll", "Lo") and ud.normalize("NFD", chr(cp)) == chr(cp)]
+    skeletons = dict(zip(letters, checker.getSkeleton("\n".join(letters)).split("\n"), strict=True))
+    own = {
+        "latin": [c for c in letters if c.isascii()],
+        "greek": [c for c in letters if _script(c) == "GREEK" and 0x391 <= ord(c) <= 0x3C9],
+    }
+    out: dict[str, dict[str, str]] = {}
+    for alphabet, members in own.items():
+        meant: dict[tuple[str, bool], list[str]] = {}
+        for c in members:
+            meant.setdefault((skeletons[c], c.isupper()), []).append(c)
+        script = alphabet.upper()
+        out[alphabet] = {
+            c: meant[k][0] for c, s in skeletons.items()
+            if _script(c) != script and c not in KEPT and len(meant.get(k := (s, c.isupper()), [])) == 1
+        }
+    return out
+
+
+def code_points(spark: SparkSession) -> list[tuple[str, str, str]]:
+    """(alphabet, character, what stands for it)."""
+    both, alike = _plain_forms(), confusables(spark)
+    rows = []
     for alphabet, twins in (("latin", LATIN_TWINS), ("greek", GREEK_TWINS)):
+        twins = alike[alphabet] | twins
         plain = lambda s: "".join(twins.get(x, x) for x in s)  # noqa: B023, E731
-        own = {c: plain(d) if not 0xFF00 < ord(c) < 0xFF5F else d for c, d in both.items()}
+        # a drawn form stays the letter it draws; what is composed of a look-alike follows it
+        own = {c: plain(d) if ud.decomposition(c)[:1] != "<" else d for c, d in both.items()}
         own |= {c: ud.normalize("NFD", t) for c, t in twins.items()}
         rows += [(alphabet, c, d) for c, d in own.items() if d != c]
     return rows
@@ -102,12 +158,12 @@ def _code_points() -> list[tuple[str, str, str]]:
 
 def code_point_table(spark: SparkSession) -> DataFrame:
     """(alphabet, ch, rep): fixed by the Unicode tables and the twins above, so its size is bounded."""
-    return spark.createDataFrame(pd.DataFrame(_code_points(), columns=["alphabet", "ch", "rep"]))
+    return spark.createDataFrame(pd.DataFrame(code_points(spark), columns=["alphabet", "ch", "rep"]))
 
 
 def mark_table(spark: SparkSession) -> DataFrame:
     """(m, ccc): combining marks and their class, fixed by the Unicode tables."""
-    rows = [(chr(cp), ud.combining(chr(cp))) for cp in range(0x300, 0x2FFFF) if not 0xD800 <= cp <= 0xDFFF and ud.combining(chr(cp))]
+    rows = [(chr(cp), ud.combining(chr(cp))) for cp in range(0x300, sys.maxunicode + 1) if not 0xD800 <= cp <= 0xDFFF and ud.combining(chr(cp))]
     return spark.createDataFrame(pd.DataFrame(rows, columns=["m", "ccc"]))
 
 
@@ -160,7 +216,10 @@ def standardize(df: DataFrame, value: str, lang: str | None, out: str = "standar
     forms = standard_forms(odd.select(v.alias("v"), F.col("__alphabet").alias("alphabet")).distinct())
     # names no table has, so that none of the rows' own columns can clash
     forms = forms.toDF("__form", "__form_alphabet", "__standard")
-    fixed = odd.join(forms, (v == F.col("__form")) & (F.col("__alphabet") == F.col("__form_alphabet")), "left")
-    fixed = fixed.withColumn(out, F.col("__standard")).drop("__form", "__form_alphabet", "__standard", "__alphabet", "__quick")
+    own = [F.col(f"`{c}`") for c in df.columns]
+    # rows of a frequent value are spread by all they hold
+    odd = odd.withColumn("__value", v).withColumn("__spread", F.xxhash64(*own))
+    fixed = spread_join(odd, forms, [("__value", "__form"), ("__alphabet", "__form_alphabet")], ["__spread"])
+    fixed = fixed.withColumn(out, F.col("__standard")).drop("__form", "__form_alphabet", "__standard", "__alphabet", "__quick", "__value", "__spread")
     quick = tagged.where("__quick").drop("__alphabet", "__quick").withColumn(out, v)
     return quick.unionByName(fixed)

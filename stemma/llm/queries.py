@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stemma.llm import canonical, charnorm, linkage, mixing, packing, quality, tokens, truncation
-from stemma.session import cut, table
+from stemma.session import cut, spread_join, table
 
 # ---------------------------------------------------------------- standard spelling
 
@@ -40,8 +40,15 @@ ORACLE: dict[str, str] = {}
 # ---------------------------------------------------------------- canonical languages
 
 
+# fixed values: names of languages that no listed spelling shows, by a spelling of the same language
+_NAMES = {
+    "altindisch": "aind", "altgriechisch": "agr", "altkirchenslavisch": "aksl", "altkirchenslawisch": "aksl",
+    "altbulgarisch": "abg", "altisländisch": "aisl", "altnordisch": "altnordi", "gotisch": "got",
+}
+
+
 def _vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    return canonical.vocabulary(spark, table(spark, sf, "lang_abbrev_master"), "abbrev_id", "eng_abbrev", "source_abbrev", "full_language_name")
+    return canonical.vocabulary(spark, table(spark, sf, "lang_abbrev_master"), "abbrev_id", "eng_abbrev", "source_abbrev", "full_language_name", _NAMES)
 
 
 def _typed_languages(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,7 +66,7 @@ def _typed_languages(spark: SparkSession, sf: str) -> DataFrame:
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     rows = _typed_languages(spark, sf)
     mapped = canonical.canonicalize(rows.select("v").distinct(), _vocabulary(spark, sf)).select(F.col("v").alias("m_v"), "entry")
-    return rows.join(mapped, F.col("v") == F.col("m_v"), "left").select(
+    return spread_join(rows, mapped, [("v", "m_v")], ["source_table", "row_key"]).select(
         "source_table", "row_key", F.coalesce("entry", F.lit(0)).alias("abbrev_id")
     ).distinct()
 

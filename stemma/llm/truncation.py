@@ -46,7 +46,7 @@ _CLOSED = re.compile(r"(?:…|\.\.\.|\betc\.?)\s*$")
 _NUMBERED = re.compile(r"(?:^|\s)\d{1,3}\)")
 _SINGLE = re.compile(r"(?:^|(?<=[\s(]))'|'(?=$|[\s,.;)!?])")
 _GOES_ON = re.compile(r"\s*[;,|·\n\t]|\s/\s|\.\s|\.?$")
-TAIL_WORD_SQL = r"([^\s\u00a0,;|·/()\[\]\"“”‘’«»]+)\s*$"
+BETWEEN_WORDS = r"\s\u00a0,;|·/()\[\]\"“”‘’«»"
 
 
 @dataclass(frozen=True)
@@ -211,15 +211,16 @@ def limits(values: DataFrame) -> DataFrame:
 
 
 def _last_word(value: str) -> Column:
-    return F.rtrim(F.regexp_extract(F.lower(value), TAIL_WORD_SQL, 1), F.lit(".'"))
+    """What stands behind the last separator, lower case and without closing stops; empty where nothing does."""
+    return F.rtrim(F.element_at(F.split(F.rtrim(F.lower(value)), f"[{BETWEEN_WORDS}]"), -1), F.lit(".'"))
 
 
 def vocabulary(values: DataFrame) -> DataFrame:
     """(word, seen, ends): how often a word has other text behind it, so that no cut can have touched it, and how often it ends a value."""
-    inner = F.regexp_replace(F.lower("value"), r"[^\s ,;|·/()\[\]\"“”‘’«»]+[^\p{L}]*$", " ")
+    parts = values.select(F.split(F.lower("value"), f"[{BETWEEN_WORDS}.]+").alias("p"), _last_word("value").alias("last"))
+    before = F.size("p") - F.when(F.element_at("p", -1) == "", 2).otherwise(1)
     # the last word stands behind a sign no text has, so that one list holds both
-    marked = F.concat_ws(" ", inner, F.concat(F.lit("\u0002"), _last_word("value")))
-    words = values.select(F.explode(F.split(marked, r"[\s ,;|·/()\[\]\"“”‘’«».]+")).alias("word"))
+    words = parts.select(F.explode(F.concat(F.slice("p", F.lit(1), F.greatest(before, F.lit(0))), F.array(F.concat(F.lit("\u0002"), "last")))).alias("word"))
     words = words.select(F.ltrim("word", F.lit("\u0002")).alias("word"), F.col("word").startswith("\u0002").cast("int").alias("last"))
     return (
         words.where("word <> ''")

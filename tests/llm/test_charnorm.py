@@ -36,3 +36,24 @@ def test_agrees_with_canonical_composition(spark):
 def test_long_and_empty(spark):
     assert run(spark, [("ａ" * 20_000, "Lat.")]) == ["a" * 20_000]
     assert C.standardize(spark.createDataFrame([], DDL), "v", "lang").count() == 0
+
+
+def test_all_planes_and_public_confusables(spark):
+    pairs = [
+        ("a\U000e0100b᠏c", "Lat."), ("a b ", "Lat."), ("\U0001d41a\U0001d41b", "Lat."), ("ｶﾞ", None), ("ſanta", "Lat."), ("x\u0007y\x85z", "Lat."),
+        ("Ⲟe", "Lat."), ("ꓒx", "Lat."), ("\U000104bb", "Lat."), ("a؀", None), ("ьъ", "OCS"), ("\U0001d6fcβγδ", "Gk."), ("Ԛаԛ", "Lat."), ("日本", None),
+    ]
+    assert run(spark, pairs) == ["abc", "a b", "ab", "ガ", "santa", "xy z", "Oe", "dx", "\U000104bb", "a؀", "ьъ", "αβγδ", "Qaq", "日本"]
+
+
+def test_confusables_are_of_one_letter_each(spark):
+    got = C.confusables(spark)
+    assert got["latin"]["а"] == "a" and got["latin"]["Ѕ"] == "S" and got["greek"]["o"] == "ο" and len(got["latin"]) > 150
+    assert all(a != b and len(b) == 1 and a.isupper() == b.isupper() for t in got.values() for a, b in t.items())
+    assert not set(C.KEPT) & set(got["latin"]) and all(b.isascii() for b in got["latin"].values())
+
+
+def test_frequent_value(spark, monkeypatch):
+    monkeypatch.setattr("stemma.session.HOT", 50)
+    rows = [("ａb", "Lat.")] * 500 + [("ｘ", "Lat.")] * 3 + [(None, None)] * 20
+    assert run(spark, rows) == ["ab"] * 500 + ["x"] * 3 + [None] * 20
