@@ -48,7 +48,7 @@ def test_all_planes_and_public_confusables(spark):
 
 def test_confusables_are_of_one_letter_each(spark):
     got = C.confusables(spark)
-    assert got["latin"]["а"] == "a" and got["latin"]["Ѕ"] == "S" and got["greek"]["o"] == "ο" and len(got["latin"]) > 150
+    assert got["latin"]["а"] == "a" and got["latin"]["Ѕ"] == "S" and len(got["latin"]) > 100 and len(got["greek"]) > 30
     assert all(a != b and len(b) == 1 and a.isupper() == b.isupper() for t in got.values() for a, b in t.items())
     assert not set(C.KEPT) & set(got["latin"]) and all(b.isascii() for b in got["latin"].values())
 
