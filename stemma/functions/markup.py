@@ -249,8 +249,19 @@ def textify(e: ET.Element, blocks: frozenset[str] = frozenset({"sense", "div", "
 
 
 def _spaced(e: ET.Element, blocks: frozenset[str]) -> str:
-    lead = " " if e.tag in blocks else ""
-    return lead + (e.text or "") + "".join(_spaced(x, blocks) + (x.tail or "") for x in e) + lead
+    out: list[str] = []
+    stack: list[tuple[ET.Element | None, str]] = [(e, "")]
+    while stack:
+        x, text = stack.pop()
+        if x is None:
+            out.append(text)
+            continue
+        edge = " " if x.tag in blocks else ""
+        out.append(edge + (x.text or ""))
+        stack.append((None, edge))
+        for y in reversed(x):
+            stack += [(None, y.tail or ""), (y, "")]
+    return "".join(out)
 
 
 def flat_record(record: str) -> dict:

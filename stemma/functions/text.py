@@ -75,12 +75,12 @@ def noun_gender(pos: Column) -> tuple[Column, Column]:
 
 
 def punctuation_spacing(c: Column) -> Column:
-    """No blank before closing marks or after opening ones, one after separators, single blanks."""
-    c = F.regexp_replace(c, r"\s+([,.;:!?\)\]])", "$1")
-    c = F.regexp_replace(c, r"([\(\[])\s+", "$1")
-    c = F.regexp_replace(c, r"([,;:])(?=[^\s\d\)\]])", "$1 ")
-    c = F.regexp_replace(c, r"\s+", " ")
-    return F.trim(c)
+    """No blank before closing marks or after opening ones, one after separators and between brackets back to back, single blanks."""
+    c = F.regexp_replace(c, r" (?=[,.;:)\]])", "")
+    c = F.regexp_replace(c, r"(?<=[(\[]) ", "")
+    c = F.regexp_replace(c, r"(?<=[,;:])(?! )", " ")
+    c = F.regexp_replace(c, r"(?<=[)\]])(?=[(\[])", " ")
+    return F.regexp_replace(c, " +", " ")
 
 
 def balanced(c: Column, trim_set: str = " ,;:") -> Column:
@@ -115,14 +115,19 @@ def repair_mojibake(c: Column) -> Column:
 
 
 def abbreviation(c: Column) -> Column:
-    """Quotes and no-break blanks off, outer blanks off."""
-    c = F.trim(F.replace(c, F.lit(" "), F.lit(" ")))
-    return F.trim(F.trim(F.trim(c, F.lit('"')), F.lit("'")))
+    """Outer blanks and quotes off, no-break blanks plain, broken encoding mended, composed."""
+    c = F.trim(F.trim(F.trim(c), F.lit('"')), F.lit("'"))
+    return nfc(repair_mojibake(F.replace(c, F.lit("\u00a0"), F.lit(" "))))
+
+
+def abbreviation_key(c: Column) -> Column:
+    """What two spellings of an abbreviation share but for a closing stop: lower case, single blanks."""
+    return F.lower(F.regexp_replace(F.trim(c), r"\s+", " "))
 
 
 def abbreviation_tokens(c: Column) -> Column:
-    """Distinct parts at ; , / and blanks; a lone part is split at its hyphens."""
-    flat = F.regexp_replace(abbreviation(c), r"[()\[\]{}]", " ")
+    """Distinct parts of a cleaned abbreviation at ; , / and blanks; a lone part is split at its hyphens."""
+    flat = F.regexp_replace(c, r"[()\[\]{}]", " ")
     parts = F.filter(F.split(flat, r"[;,/]|\s+"), lambda p: p != "")
     lone = (F.size(parts) == 1) & F.contains(parts[0], F.lit("-"))
     return F.array_distinct(F.when(lone, F.filter(F.split(parts[0], "-"), lambda p: p != "")).otherwise(parts))
@@ -162,13 +167,14 @@ def file_parts(name: Column) -> tuple[Column, Column]:
 
 
 def pos_from_text(c: Column) -> Column:
-    """Part of speech by the abbreviations of the running text."""
-    return (
-        F.when(c.rlike(r"\bmf[nā(]|\bmfn\b|\badj\b"), "adj.")
-        .when(c.rlike(r"\b(?:ind|adv)\b"), "adv.")
-        .when(c.rlike(r"\b(?:vb|cl|P|Ā)\b\."), "v.")
-        .when(c.rlike(r"\b(?:subst|[mfn])\b\."), "n.")
-    )
+    """Part of speech by key words of the running text, then by verb classes and voices; empty where nothing tells."""
+    low = F.lower(F.coalesce(c, F.lit("")))
+    alone = r"(?<![\p{L}\p{N}_])"
+    verb = low.rlike(alone + r"cl\.\s*\d") | F.coalesce(c, F.lit("")).rlike(alone + r"(?:P|Ā|U)\.")
+    ladder = F.when(F.contains(low, F.lit("interjection")), "interj.")
+    for word, pos in (("prefix", "pref."), ("particle", "part.")):
+        ladder = ladder.when(F.contains(low, F.lit(word)), pos)
+    return ladder.when(verb, "v.").otherwise("")
 
 
 def line_mark(c: Column) -> Column:
@@ -184,16 +190,17 @@ def location(c: Column) -> tuple[Column, Column, Column]:
     return book, F.when(three.isNotNull(), two), F.coalesce(three, two, one)
 
 
-# fixed values: letters a web address writes otherwise
-SLUG_LETTERS = ("áéíóúýöøðäåǫ", "aeiouyoodaao")
-SLUG_DIGRAPHS = (("æ", "ae"), ("œ", "oe"), ("þ", "th"))
+# fixed values: letters and ligatures that the addresses of the dictionary pages write otherwise
+SLUG_LETTERS = ("áýðúéóöøí ", "aydueoooi-")
+SLUG_DIGRAPHS = (("þ", "th"), ("æ", "ae"), ("œ", "oe"))
 
 
 def slug(c: Column) -> Column:
-    c = F.translate(F.lower(c), *SLUG_LETTERS)
+    """A lemma as the last part of a page address; a closing hyphen goes."""
+    c = F.regexp_replace(F.translate(F.lower(c), *SLUG_LETTERS), "-$", "")
     for a, b in SLUG_DIGRAPHS:
         c = F.replace(c, F.lit(a), F.lit(b))
-    return F.regexp_replace(c, r"[^a-z0-9]+", "-")
+    return c
 
 
 @F.pandas_udf(StringType())
@@ -201,15 +208,44 @@ def nfc(c: pd.Series) -> pd.Series:
     return c.map(lambda s: ud.normalize("NFC", s), na_action="ignore")
 
 
-# fixed values: entity names of older texts that HTML does not know
+# fixed values: endings of entity names that put a mark on the letter before them, and single entities
+ENTITY_MARKS = {"acute": "\u0301", "long": "\u0304", "short": "\u0306", "odot": "\u0307", "udot": "\u0323", "tilde": "\u0303"}
+ENTITY_LIGATURES = {"acute": "\u0301", "long": "\u0304", "circ": "\u0302"}
 ENTITIES = {
-    "aelig-acute": "ǽ", "ae-acute": "ǽ", "oe-acute": "œ́", "y-acute": "ý", "a-long": "ā", "e-long": "ē", "i-long": "ī",
-    "o-long": "ō", "u-long": "ū", "ae-long": "ǣ", "y-long": "ȳ", "hyphen": "-", "dash": "–", "thorn-bar": "ꝥ",
+    "OElig-acute": "\u0152\u0301", "oelig-acute": "\u0153\u0301", "dash-acute": "\u0903\u0301", "t-super": "\u1d57", "e-super": "\u1d49",
+    "alpha-tonos": "ά", "epsilon-tonos": "έ", "eta-tonos": "ή", "omicron-tonos": "ό", "iota-tonos": "ί", "upsilon-tonos": "ύ", "omega-tonos": "ώ",
+    "iota-oxia": "\u1f77", "iota-diar": "ϊ", "upsilon-dasia-oxia": "ὕ", "w-circ": "\u0302ω",
+    "b-rune": "ᛒ", "c-rune": "ᚳ", "d-rune": "ᛞ", "e-rune": "ᛖ", "f-rune": "ᚠ", "i-rune": "ᛁ", "l-rune": "ᛚ", "m-rune": "ᛗ", "n-rune": "ᚾ",
+    "ng-rune": "ᛝ", "p-rune": "ᛈ", "u-rune": "ᚢ", "w-rune": "ᚹ", "y-rune": "ᚣ",
+    "yogh": "ȝ", "YOGH": "Ȝ", "dash-uncertain": "\u0903", "hand": "☞",
 }
-_ENTITY = re.compile(r"&([A-Za-z-]+);")
+#: These stand without a closing semicolon.
+ENTITY_STROKES = {"b-bar": "ƀ", "THORN-bar": "Ꝥ", "thorn-bar": "ꝥ"}
+_NAMED_ENTITY = re.compile(r"&([A-Za-z]+(?:-[a-z]+)*);")
+_STROKE = re.compile("&(" + "|".join(ENTITY_STROKES) + ")")
+_LIGATURE = re.compile("[Ææ]-(" + "|".join(ENTITY_LIGATURES) + ");")
+
+
+def _entity(m: re.Match) -> str:
+    name = m[1]
+    if name in ENTITIES:
+        return ENTITIES[name]
+    letter, _, mark = name.partition("-")
+    # the acute is put on small letters only
+    if len(letter) == 1 and mark in ENTITY_MARKS and (mark != "acute" or letter.islower()) and (letter.islower() or mark != "acute"):
+        return letter + ENTITY_MARKS[mark]
+    return m[0]
+
+
+def unescape_entities(s: str) -> str:
+    """Entities by HTML, then those of the dictionary's own names; ampersands that open none are escaped again."""
+    s = _LIGATURE.sub(lambda m: "æ" + ENTITY_LIGATURES[m[1]], html.unescape(s))
+    s = _STROKE.sub(lambda m: ENTITY_STROKES[m[1]], _NAMED_ENTITY.sub(_entity, s))
+    for bare in (" & ", "[&", ">&"):
+        s = s.replace(bare, bare.replace("&", "&amp;"))
+    return re.sub("&(?=c)", "&amp;", s)
 
 
 @F.pandas_udf(StringType())
 def unescape(c: pd.Series) -> pd.Series:
-    """Entities by HTML and by the table above; unknown ones stay."""
-    return c.map(lambda s: html.unescape(_ENTITY.sub(lambda m: ENTITIES.get(m[1], m[0]), s)), na_action="ignore")
+    return c.map(unescape_entities, na_action="ignore")

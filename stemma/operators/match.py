@@ -71,10 +71,12 @@ def five_way(joined: DataFrame, parsed: str, master: str, exact: Column) -> Data
 
     joined: one row per candidate, master null where there is none.
     """
-    of_parsed, of_master = Window.partitionBy(parsed), Window.partitionBy(master)
+    of_parsed = Window.partitionBy(parsed)
     flagged = joined.withColumn("__exact", F.coalesce(exact & F.col(master).isNotNull(), F.lit(False)))
     flagged = flagged.withColumn("__p_exact", F.max("__exact").over(of_parsed)).withColumn("__n", F.count(F.lit(1)).over(of_parsed))
-    flagged = flagged.withColumn("master_paired", F.when(F.col(master).isNotNull(), F.max("__exact").over(of_master)).otherwise(False))
+    # masters met exactly come in by a join: a window would gather all rows without a master in one task
+    met = flagged.where("__exact").select(F.col(master).alias("__m")).distinct()
+    flagged = flagged.join(met, F.col(master) == F.col("__m"), "left").withColumn("master_paired", F.col("__m").isNotNull()).drop("__m")
     status = (
         F.when(F.col(master).isNull(), "none")
         .when(F.col("__exact"), "exact")
@@ -129,6 +131,43 @@ def apply_decisions(candidates: DataFrame, decisions: DataFrame, group: str, opt
     return joined.withColumn("outcome", outcome).drop("__v", "__first")
 
 
+def star_id(c: Column) -> Column:
+    """The number of a temporary id like '*12'."""
+    return F.replace(c, F.lit("*"), F.lit("")).try_cast("bigint")
+
+
+def trimmed_lemma(c: Column) -> Column:
+    """The lemma before its bracket; empty where there is none."""
+    return text.before(c, " (")
+
+
+def not_in(left: DataFrame, right: DataFrame, column: str, other: str) -> DataFrame:
+    """Rows of ``left`` whose value is NOT IN the other column: none at all if that holds a null, never rows with a null value.
+
+    Two steps that shuffle, where the null-aware anti join could only broadcast.
+    """
+    listed = right.select(F.col(other).alias("__listed"))
+    if listed.where("__listed is null").limit(1).count():
+        return left.where("false")
+    if listed.limit(1).count() == 0:
+        return left
+    return left.where(F.col(column).isNotNull()).join(listed, F.col(column) == F.col("__listed"), "left_anti")
+
+
+def missing_pairings(left: DataFrame, right: DataFrame, pairs: DataFrame, left_id: str, right_id: str) -> DataFrame:
+    """(side, id, has_candidate): ids of either side in no pair, and whether the other side offers any with their key.
+
+    left, right: id and ``key``.
+    """
+    out = None
+    for side, own, own_id, other in (("left", left, left_id, right), ("right", right, right_id, left)):
+        alone = own.select(F.col(own_id).alias("id"), "key").distinct().join(pairs.select(F.col(own_id).alias("id")), "id", "left_anti")
+        offered = alone.join(other.where("key is not null").select("key").distinct().withColumn("__hit", F.lit(True)), "key", "left")
+        one = offered.groupBy("id").agg(F.max(F.coalesce("__hit", F.lit(False))).alias("has_candidate")).select(F.lit(side).alias("side"), "id", "has_candidate")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def substitute_ids(df: DataFrame, column: str, mapping: DataFrame, parsed: str, master: str, strict: bool = True) -> DataFrame:
     """Replace an embedded '*digits' by the id it maps to; an unknown one is an error unless not strict."""
     found = df.withColumn("__id", F.regexp_substr(F.col(column), F.lit(r"\*[0-9]+")))
@@ -142,14 +181,23 @@ def substitute_ids(df: DataFrame, column: str, mapping: DataFrame, parsed: str,
 def resolve_abbreviation(values: DataFrame, value: str, lookup: DataFrame, manual: DataFrame | None = None) -> DataFrame:
     """(value, mapped, status): direct lookup, then agreement of the tokens, then a manual list.
 
-    lookup: token, code.  status: '', empty, unmapped, conflict.  Token collisions keep the smallest code.
+    lookup: token, code.  status: '', empty, unmapped, conflict.  Case, blanks and a closing stop do not tell
+    tokens apart; of colliding ones the smallest code counts.
     """
-    codes = lookup.where("token is not null and token <> ''").groupBy("token").agg(F.min("code").alias("code"))
+    stopless = lambda c: F.rtrim(c, F.lit("."))
+    codes = lookup.where("token is not null").select(text.abbreviation_key(F.col("token")).alias("key"), "code").where("key <> ''")
+    codes = codes.groupBy("key").agg(F.min("code").alias("code")).withColumn("bare", stopless(F.col("key")))
     v = values.select(value).distinct().withColumn("raw", F.coalesce(text.abbreviation(F.col(value)), F.lit("")))
-    direct = v.join(codes.select(F.col("token").alias("raw"), F.col("code").alias("direct")), "raw", "left")
-    parts = v.select(value, F.explode(text.abbreviation_tokens(F.col("raw"))).alias("token")).join(codes, "token")
-    agreed = parts.groupBy(F.col(value).alias("__v")).agg(F.collect_set("code").alias("codes"))
-    joined = direct.join(agreed, F.col(value).eqNullSafe(F.col("__v")), "left").drop("__v")
+    tokens = v.select("raw", F.explode(F.array_union(F.array("raw"), text.abbreviation_tokens(F.col("raw")))).alias("token")).distinct()
+    tokens = tokens.withColumn("own", text.abbreviation_key(F.col("token"))).withColumn("own_bare", stopless(F.col("own")))
+    # as written, else with a stop, else without
+    hit = tokens.join(codes, F.col("own_bare") == F.col("bare"))
+    rank = F.when(F.col("key") == F.col("own"), 0).when(F.col("key") == F.concat("bare", F.lit(".")), 1).when(F.col("key") == F.col("bare"), 2)
+    hit = hit.withColumn("rank", rank).where("rank is not null").groupBy("raw", "token").agg(F.min(F.struct("rank", "code"))["code"].alias("code"))
+    direct = v.join(hit.where("token = raw").select("raw", F.col("code").alias("direct")), "raw", "left")
+    parts = v.select("raw", F.explode(text.abbreviation_tokens(F.col("raw"))).alias("token")).distinct().join(hit, ["raw", "token"])
+    agreed = parts.groupBy("raw").agg(F.collect_set("code").alias("codes"))
+    joined = direct.join(agreed, "raw", "left")
     n = F.coalesce(F.size("codes"), F.lit(0))
     n = F.when(n < 0, 0).otherwise(n)
     status = F.when(F.col("raw") == "", "empty").when(F.col("direct").isNotNull() | (n == 1), "").when(n == 0, "unmapped").otherwise("conflict")

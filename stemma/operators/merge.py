@@ -37,6 +37,42 @@ def write_slices(incoming: DataFrame, path: str, slice_column: str) -> None:
     incoming.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(slice_column).parquet(path)
 
 
+def staged_overwrite(spark, path: str, incoming: DataFrame, slice_column: str, checks: dict[str, str]) -> dict[str, int]:
+    """Replace the delivered slices of a table of folders only if the new rows pass: written aside, checked, swapped in.
+
+    path: folder of parquet versions; ``current_version`` names the one in force.  checks: name -> condition no row
+    may meet.  Returns the number of rows that fail each check; with any, nothing changes.  Readers see
+    the old version or the new one, never a mixture, for one small file decides.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    version = current_version(spark, path)
+    staged = f"{path}/v{version + 1}"
+    now = incoming if version < 0 else slice_overwrite(spark.read.parquet(f"{path}/v{version}"), incoming, slice_column)
+    now.write.mode("overwrite").parquet(staged)
+    bad = spark.read.parquet(staged).agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.expr(c)).alias(n) for n, c in checks.items()]).first().asDict()
+    failed = {n: bad[n] for n in checks if bad[n]}
+    if failed:
+        fs.delete(hadoop.Path(staged), True)
+        return failed
+    # a renamed marker is there or not
+    marker = hadoop.Path(f"{path}/_next-{version + 1}")
+    fs.create(marker).close()
+    fs.rename(marker, hadoop.Path(f"{path}/_version-{version + 1}"))
+    return {}
+
+
+def current_version(spark, path: str) -> int:
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return -1
+    names = [x.getPath().getName() for x in fs.listStatus(folder)]
+    return max((int(n.removeprefix("_version-")) for n in names if n.startswith("_version-")), default=-1)
+
+
 def append_new(current: DataFrame, incoming: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
     """(table with the rows appended, rows refused because their key is taken)."""
     refused = incoming.join(current.select(*key).distinct(), key, "left_semi")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stemma.functions import markup, text, translit
-from stemma.operators import corpus, match, merge, transliteration_match, windows
+from stemma.operators import corpus, dictionary, match, merge, transliteration_match, windows
 from stemma.session import table
 from stemma.sources import sinks
 
@@ -132,17 +132,13 @@ def j4_derived_key_match(spark, sf):
     return r.join(m, "k", "left").select("lex_ref_link_id", "lemma_id")
 
 
-@query(r"""SELECT r.lex_ref_link_id, m.lemma_id FROM (SELECT *, TRY_CAST(regexp_extract(page_loc, '(\d{1,6})', 1) AS INT) AS page FROM lex_ref_link) r
-JOIN lex_master m ON r.lang = m.lang AND r.reflex = m.lemma AND r.page = m.page_num""")
+@query(r"""WITH p AS (SELECT lex_ref_link_id, lang, reflex AS lemma, TRY_CAST(regexp_extract(page_loc, '(\d{1,6})', 1) AS INT) AS page FROM lex_ref_link), m AS (SELECT lang, lemma_id, page_num, lemma || ' (' || coalesce(lemma_translit, lemma) || ')' AS shown FROM lex_master)
+SELECT p.lex_ref_link_id, m.lemma_id FROM p JOIN m ON p.lang = m.lang AND left(m.shown, greatest(instr(m.shown, ' (') - 1, 0)) = p.lemma AND p.page = m.page_num""")
 def j5_composite_expression_key(spark, sf):
-    r = table(spark, sf, "lex_ref_link").select("lex_ref_link_id", "lang", c("reflex").alias("lemma"), F.regexp_extract("page_loc", r"(\d{1,6})", 1).try_cast("int").alias("page_num"))
-    return r.join(table(spark, sf, "lex_master").select("lang", "lemma", "page_num", "lemma_id"), ["lang", "lemma", "page_num"]).select("lex_ref_link_id", "lemma_id")
-
-
-@query("""SELECT DISTINCT m.lang, m.lemma_id, s.lemma_id AS other_id FROM lex_master m JOIN lex_master s
-ON m.lang = s.lang AND (m.orthography = s.lemma OR starts_with(m.orthography, s.lemma || ',')) WHERE m.lang IN ('Goth.','Arm.','OIr.') AND s.lemma <> ''""")
-def j5_j6_or_prefix_join(spark, sf):
-    return _or_prefix(table(spark, sf, "lex_master").where(c("lang").isin("Goth.", "Arm.", "OIr.")))
+    r = table(spark, sf, "lex_ref_link").select("lex_ref_link_id", "lang", c("reflex").alias("word"), F.regexp_extract("page_loc", r"(\d{1,6})", 1).try_cast("int").alias("page_num"))
+    shown = F.concat("lemma", lit(" ("), F.coalesce("lemma_translit", "lemma"), lit(")"))
+    m = table(spark, sf, "lex_master").select("lang", "lemma_id", "page_num", match.trimmed_lemma(shown).alias("word"))
+    return r.join(m, ["lang", "word", "page_num"]).select("lex_ref_link_id", "lemma_id")
 
 
 def _or_prefix(rows):
@@ -154,7 +150,7 @@ def _or_prefix(rows):
 @query("""SELECT DISTINCT m.lang, m.lemma_id, s.lemma_id AS other_id FROM (SELECT lang, lemma_id, unnest(list_append(
 [left(orthography, i - 1) FOR i IN range(1, length(orthography) + 1) IF substring(orthography, i, 1) = ','], orthography)) AS k FROM lex_master WHERE orthography IS NOT NULL) m
 JOIN lex_master s ON m.lang = s.lang AND m.k = s.lemma WHERE s.lemma <> ''""")
-def j5_j6_or_prefix_join_all(spark, sf):
+def j5_j6_or_prefix_join(spark, sf):
     return _or_prefix(table(spark, sf, "lex_master"))
 
 
@@ -188,9 +184,8 @@ def j10_constant_on_predicate(spark, sf):
 
 @query("""SELECT lex_ref_link_id FROM lex_ref_link WHERE word_id NOT IN (SELECT lemma_id FROM lex_master WHERE lang = 'ON')""")
 def j11_not_in(spark, sf):
-    table(spark, sf, "lex_ref_link").createOrReplaceTempView("__links")
-    table(spark, sf, "lex_master").createOrReplaceTempView("__entries")
-    return spark.sql("SELECT lex_ref_link_id FROM __links WHERE word_id NOT IN (SELECT lemma_id FROM __entries WHERE lang = 'ON')")
+    listed = table(spark, sf, "lex_master").where("lang = 'ON'")
+    return match.not_in(table(spark, sf, "lex_ref_link").select("lex_ref_link_id", "word_id"), listed, "word_id", "lemma_id").select("lex_ref_link_id")
 
 
 @query("""SELECT lang, lemma_id, lemma FROM lex_master WHERE (lang, lemma) IN (SELECT (lang, lemma) FROM (SELECT DISTINCT lang, lemma, lemma_id FROM lex_master) GROUP BY lang, lemma HAVING count(*) > 1)""")
@@ -211,9 +206,10 @@ def j14_exists(spark, sf):
     return table(spark, sf, "lex_master").select("lang", "lemma_id").join(s, ["lang", "lemma_id"], "left_semi")
 
 
-@query("""SELECT s.sense_id FROM lex_senses s LEFT JOIN lex_master m ON s.lang = m.lang AND s.lemma_id = m.lemma_id WHERE m.lemma_id IS NULL""")
+@query("""SELECT m.lang, m.lemma_id FROM lex_master m LEFT JOIN lex_ref_link r ON r.word_lang = m.lang AND r.word_id = m.lemma_id WHERE r.word_id IS NULL""")
 def j15_anti_by_outer_join(spark, sf):
-    return table(spark, sf, "lex_senses").join(table(spark, sf, "lex_master").select("lang", "lemma_id"), ["lang", "lemma_id"], "left_anti").select("sense_id")
+    linked = table(spark, sf, "lex_ref_link").select(c("word_lang").alias("lang"), c("word_id").alias("lemma_id"))
+    return table(spark, sf, "lex_master").select("lang", "lemma_id").join(linked, ["lang", "lemma_id"], "left_anti")
 
 
 @query("""SELECT 'reflex' AS which, count(*) AS n FROM (SELECT DISTINCT * FROM temp_on_matching) t JOIN (SELECT DISTINCT * FROM temp_on_matching) a ON t.lex_ref_link_id = a.lex_ref_link_id AND t.lemma_id <> a.lemma_id
@@ -226,10 +222,16 @@ def j16_duplicates_on_either_key(spark, sf):
     return x.unionByName(y)
 
 
-@query("""WITH u AS (SELECT orig_lang_abbrev_raw, row_count FROM unmapped_summary) SELECT l.lex_ref_link_id, u.row_count FROM (SELECT * FROM lex_ref_link WHERE orig_lang_abbrev IS NOT NULL) l LEFT JOIN u ON l.orig_lang_abbrev = u.orig_lang_abbrev_raw""")
+@query(r"""WITH k AS (SELECT key, min(code) AS code FROM (SELECT lower(regexp_replace(trim(unnest(string_split(source_abbrev, ','))), '\s+', ' ', 'g')) AS key, eng_abbrev AS code FROM lang_abbrev_master) WHERE key <> '' GROUP BY 1),
+u AS (SELECT lower(regexp_replace(trim(orig_lang_abbrev_raw), '\s+', ' ', 'g')) AS key, sum(row_count)::BIGINT AS row_count FROM unmapped_summary GROUP BY 1)
+SELECT l.lex_ref_link_id, CASE WHEN coalesce(trim(l.lang), '') = '' THEN k.code ELSE l.lang END AS lang, u.row_count FROM (SELECT *, lower(regexp_replace(trim(orig_lang_abbrev), '\s+', ' ', 'g')) AS key FROM lex_ref_link) l LEFT JOIN k USING (key) LEFT JOIN u USING (key)""")
 def j18_j20_left_merge_lookup(spark, sf):
-    u = table(spark, sf, "unmapped_summary").withColumnRenamed("orig_lang_abbrev_raw", "orig_lang_abbrev")
-    return table(spark, sf, "lex_ref_link").where("orig_lang_abbrev is not null").join(u, "orig_lang_abbrev", "left").select("lex_ref_link_id", "row_count")
+    key = lambda x: text.abbreviation_key(c(x))
+    k = table(spark, sf, "lang_abbrev_master").select(F.explode(F.split("source_abbrev", ",")).alias("a"), c("eng_abbrev").alias("code")).withColumn("key", key("a")).where("key <> ''").groupBy("key").agg(F.min("code").alias("code"))
+    u = table(spark, sf, "unmapped_summary").groupBy(key("orig_lang_abbrev_raw").alias("key")).agg(F.sum("row_count").alias("row_count"))
+    r = table(spark, sf, "lex_ref_link").select("lex_ref_link_id", "lang", key("orig_lang_abbrev").alias("key"))
+    blank = F.trim(F.coalesce("lang", lit(""))) == ""
+    return r.join(k, "key", "left").join(u, "key", "left").select("lex_ref_link_id", F.when(blank, c("code")).otherwise(c("lang")).alias("lang"), "row_count")
 
 
 @query("""SELECT r.lex_ref_link_id, coalesce(r.lang, k.lang) AS lang FROM lex_ref_link r LEFT JOIN (SELECT orig_lang_abbrev, arg_max(lang, lex_ref_link_id) AS lang FROM lex_ref_link WHERE lang IS NOT NULL AND orig_lang_abbrev IS NOT NULL GROUP BY 1) k
@@ -387,14 +389,17 @@ def a14_best_candidate(spark, sf):
     return match.best_candidate(p, ["lex_ref_link_id"], c("score"), [c("lemma_id"), c("lemma")]).select("lex_ref_link_id", "lemma_id", "score")
 
 
-@query("""SELECT lang, lemma_id, lemma FROM lex_master WHERE lang = 'Goth.' ORDER BY lemma_id, lemma LIMIT 100 OFFSET 50""")
+@query("""SELECT lang, lemma_id, lemma FROM lex_master WHERE lang IS NOT NULL ORDER BY lang, lemma_id, lemma, page_num, gloss LIMIT 100 OFFSET 50""")
 def o1_o2_order_limit_offset(spark, sf):
-    return table(spark, sf, "lex_master").where("lang = 'Goth.'").select("lang", "lemma_id", "lemma").orderBy("lemma_id", "lemma").offset(50).limit(100)
+    m = table(spark, sf, "lex_master").where("lang is not null").select("lang", "lemma_id", "lemma", "page_num", "gloss")
+    return m.orderBy("lang", "lemma_id", "lemma", F.asc_nulls_last("page_num"), F.asc_nulls_last("gloss")).offset(50).limit(100).select("lang", "lemma_id", "lemma")
 
 
-@query("""SELECT sense_id, row_number() OVER (ORDER BY TRY_CAST(sense_num AS DOUBLE) IS NULL, TRY_CAST(sense_num AS DOUBLE), sense_num, sense_id, h_number, last_updated) AS place FROM lex_senses WHERE lang = 'Goth.' AND sense_num IS NOT NULL""")
-def o5_numeric_else_text_order(spark, sf):
-    return _numeric_else_text(table(spark, sf, "lex_senses").where("lang = 'Goth.'"))
+@query("""SELECT parsed_id, place, (place - 1) // 1000 AS page FROM (SELECT parsed_id, row_number() OVER (ORDER BY TRY_CAST(replace(parsed_id, '*', '') AS BIGINT), lang) AS place FROM (SELECT DISTINCT '*' || lemma_id AS parsed_id, lang FROM lex_master WHERE lang IS NOT NULL))""")
+def o1_o3_star_ids_in_pages(spark, sf):
+    ids = table(spark, sf, "lex_master").where("lang is not null").select(F.concat(lit("*"), c("lemma_id").cast("string")).alias("parsed_id"), "lang").distinct()
+    numbered = windows.global_row_number(ids, [match.star_id(c("parsed_id")), c("lang")], "place")
+    return numbered.select("parsed_id", "place", F.floor((c("place") - 1) / 1000).alias("page"))
 
 
 def _numeric_else_text(senses):
@@ -404,7 +409,7 @@ def _numeric_else_text(senses):
 
 
 @query("""SELECT sense_id, row_number() OVER (ORDER BY TRY_CAST(sense_num AS DOUBLE) IS NULL, TRY_CAST(sense_num AS DOUBLE), sense_num, sense_id, h_number, last_updated) AS place FROM lex_senses WHERE sense_num IS NOT NULL""")
-def o5_numeric_else_text_order_all(spark, sf):
+def o5_numeric_else_text_order(spark, sf):
     return _numeric_else_text(table(spark, sf, "lex_senses"))
 
 
@@ -413,9 +418,13 @@ def o6_union_all(spark, sf):
     return table(spark, sf, "lex_master").select("lang", c("lemma_id").alias("id")).unionByName(table(spark, sf, "lex_senses").select("lang", c("sense_id").alias("id")))
 
 
-@query("""SELECT lemma_id FROM lex_master WHERE lang = 'ON' EXCEPT SELECT lemma_id FROM temp_on_matching""")
+@query(f"""WITH r AS (SELECT lex_ref_link_id AS id, {KEY.format('reflex')} AS k FROM lex_ref_link WHERE lang = 'ON'), m AS (SELECT lemma_id AS id, {KEY.format('lemma')} AS k FROM lex_master WHERE lang = 'ON')
+SELECT 'left' AS side, id, bool_or(k IS NOT NULL AND k IN (SELECT k FROM m WHERE k IS NOT NULL)) AS has_candidate FROM r WHERE id NOT IN (SELECT lex_ref_link_id FROM temp_on_matching) GROUP BY 2
+UNION ALL SELECT 'right', id, bool_or(k IS NOT NULL AND k IN (SELECT k FROM r WHERE k IS NOT NULL)) FROM m WHERE id NOT IN (SELECT lemma_id FROM temp_on_matching) GROUP BY 2""")
 def o7_k16_missing_pairings(spark, sf):
-    return table(spark, sf, "lex_master").where("lang = 'ON'").select("lemma_id").distinct().join(table(spark, sf, "temp_on_matching").select("lemma_id"), "lemma_id", "left_anti")
+    r = table(spark, sf, "lex_ref_link").where("lang = 'ON'").select("lex_ref_link_id", text.fold_key(c("reflex")).alias("key"))
+    m = table(spark, sf, "lex_master").where("lang = 'ON'").select("lemma_id", text.fold_key(c("lemma")).alias("key"))
+    return match.missing_pairings(r, m, table(spark, sf, "temp_on_matching"), "lex_ref_link_id", "lemma_id")
 
 
 # ------------------------------------------------------------------ windows
@@ -568,18 +577,22 @@ def k18_substitute_ids(spark, sf):
     return match.substitute_ids(s, "note", mapping, "parsed", "new_id", strict=False)
 
 
+# letters of the list's language read in the wrong encoding, which SQL has to list
+_MENDED = "replace(replace(replace(replace(replace({}, 'Ã¤', 'ä'), 'Ã¶', 'ö'), 'Ã¼', 'ü'), 'Ã' || chr(159), 'ß'), 'Ã©', 'é')"
 _LOOKUP = "(SELECT trim(unnest(string_split(source_abbrev, ','))) AS token, eng_abbrev AS code FROM lang_abbrev_master)"
 
 
-@query(rf"""WITH lk AS (SELECT token, min(code) AS code FROM {_LOOKUP} WHERE token <> '' GROUP BY 1),
-v AS (SELECT DISTINCT orig_lang_abbrev AS v, trim(trim(trim(trim(replace(coalesce(orig_lang_abbrev, ''), chr(160), ' ')), '"'), '''')) AS raw FROM lex_ref_link WHERE orig_lang_abbrev IS NOT NULL),
+@query(rf"""WITH lk AS (SELECT key, rtrim(key, '.') AS bare, min(code) AS code FROM (SELECT lower(regexp_replace(trim(token), '\s+', ' ', 'g')) AS key, code FROM {_LOOKUP}) WHERE key <> '' GROUP BY 1),
+v AS (SELECT DISTINCT orig_lang_abbrev AS v, nfc_normalize({_MENDED.format("replace(trim(trim(trim(coalesce(orig_lang_abbrev, '')), chr(34)), chr(39)), chr(160), ' ')")}) AS raw FROM lex_ref_link WHERE orig_lang_abbrev IS NOT NULL),
 p AS (SELECT v, list_filter(regexp_split_to_array(regexp_replace(raw, '[()\[\]{{}}]', ' ', 'g'), '[;,/]|\s+'), lambda x: x <> '') AS parts FROM v),
 q AS (SELECT DISTINCT v, unnest(CASE WHEN len(parts) = 1 AND contains(parts[1], '-') THEN list_filter(string_split(parts[1], '-'), lambda x: x <> '') ELSE parts END) AS token FROM p),
-a AS (SELECT v, min(code) AS code, count(DISTINCT code) AS n FROM q JOIN lk USING (token) GROUP BY 1)
+t AS (SELECT v, token, lower(regexp_replace(trim(token), '\s+', ' ', 'g')) AS own FROM (SELECT v, token FROM q UNION SELECT v, raw FROM v)),
+h AS (SELECT t.v, t.token, arg_min(lk.code, (CASE WHEN lk.key = t.own THEN 0 WHEN lk.key = lk.bare || '.' THEN 1 ELSE 2 END, lk.code)) AS code FROM t JOIN lk ON rtrim(t.own, '.') = lk.bare AND lk.key IN (t.own, lk.bare || '.', lk.bare) GROUP BY ALL),
+a AS (SELECT v, min(code) AS code, count(DISTINCT code) AS n FROM q JOIN h USING (v, token) GROUP BY 1)
 SELECT v.v AS orig_lang_abbrev, CASE WHEN raw = '' THEN NULL ELSE coalesce(d.code, CASE WHEN a.n = 1 THEN a.code END) END AS mapped, CASE WHEN raw = '' THEN 'empty' WHEN d.code IS NOT NULL OR a.n = 1 THEN '' WHEN a.n IS NULL THEN 'unmapped' ELSE 'conflict' END AS status
-FROM v LEFT JOIN lk d ON v.raw = d.token LEFT JOIN a ON v.v = a.v""")
+FROM v LEFT JOIN h d ON v.v = d.v AND v.raw = d.token LEFT JOIN a ON v.v = a.v""")
 def k20_t17_t18_abbreviation_cascade(spark, sf):
-    lookup = table(spark, sf, "lang_abbrev_master").select(F.explode(F.split("source_abbrev", ",")).alias("token"), c("eng_abbrev").alias("code")).withColumn("token", F.trim("token"))
+    lookup = table(spark, sf, "lang_abbrev_master").select(F.explode(F.split("source_abbrev", ",")).alias("token"), c("eng_abbrev").alias("code"))
     return match.resolve_abbreviation(table(spark, sf, "lex_ref_link").where("orig_lang_abbrev is not null").select("orig_lang_abbrev"), "orig_lang_abbrev", lookup)
 
 
@@ -620,28 +633,15 @@ def t7_nfc(spark, sf):
     return table(spark, sf, "lex_ref_link").where("reflex is not null").select("lex_ref_link_id", text.nfc("reflex").alias("nfc"))
 
 
-@query(r"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\s+([,.;:!?\)\]])', '\1', 'g'), '([\(\[])\s+', '\1', 'g'), '([,;:])([^\s\d\)\]])', '\1 \2', 'g'), '\s+', ' ', 'g')) AS spaced FROM documents WHERE NOT regexp_matches(text, '[,;:][,;:]')""")
+@query(r"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, ' ([,.;:)\]])', '\1', 'g'), '([(\[]) ', '\1', 'g'), '([,;:])', '\1 ', 'g'), '([)\]])([(\[])', '\1 \2', 'g'), ' +', ' ', 'g') AS spaced FROM documents""")
 def t10_punctuation_spacing(spark, sf):
-    return table(spark, sf, "documents").where(~c("text").rlike("[,;:][,;:]")).select("doc_id", text.punctuation_spacing(c("text")).alias("spaced"))
-
-
-# the SQL replacement takes the letter after a separator with it, so separators in a row need it twice
-@query(r"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\s+([,.;:!?\)\]])', '\1', 'g'), '([\(\[])\s+', '\1', 'g'), '([,;:])([^\s\d\)\]])', '\1 \2', 'g'), '([,;:])([^\s\d\)\]])', '\1 \2', 'g'), '\s+', ' ', 'g')) AS spaced FROM documents""")
-def t10_punctuation_spacing_all(spark, sf):
     return table(spark, sf, "documents").select("doc_id", text.punctuation_spacing(c("text")).alias("spaced"))
 
 
-@query("""SELECT lang, lemma_id, repeat('(', greatest(len(g) - len(replace(g, ')', '')) - (len(g) - len(replace(g, '(', ''))), 0)) || g || repeat(')', greatest(len(g) - len(replace(g, '(', '')) - (len(g) - len(replace(g, ')', ''))), 0)) AS balanced
-FROM (SELECT lang, lemma_id, trim(gloss, ' ,;:') AS g FROM lex_master WHERE gloss IS NOT NULL AND gloss NOT LIKE '%[%' AND gloss NOT LIKE '%]%')""")
-def t11_balanced_brackets(spark, sf):
-    m = table(spark, sf, "lex_master").where("gloss is not null and not contains(gloss, '[') and not contains(gloss, ']')")
-    return m.select("lang", "lemma_id", text.balanced(c("gloss")).alias("balanced"))
-
-
 @query("""SELECT lang, lemma_id, repeat('[', greatest(len(g) - len(replace(g, ']', '')) - (len(g) - len(replace(g, '[', ''))), 0)) || g || repeat(']', greatest(len(g) - len(replace(g, '[', '')) - (len(g) - len(replace(g, ']', ''))), 0)) AS balanced
 FROM (SELECT lang, lemma_id, repeat('(', greatest(len(g) - len(replace(g, ')', '')) - (len(g) - len(replace(g, '(', ''))), 0)) || g || repeat(')', greatest(len(g) - len(replace(g, '(', '')) - (len(g) - len(replace(g, ')', ''))), 0)) AS g
 FROM (SELECT lang, lemma_id, trim(gloss, ' ,;:') AS g FROM lex_master WHERE gloss IS NOT NULL))""")
-def t11_balanced_brackets_all(spark, sf):
+def t11_balanced_brackets(spark, sf):
     return table(spark, sf, "lex_master").where("gloss is not null").select("lang", "lemma_id", text.balanced(c("gloss")).alias("balanced"))
 
 
@@ -656,17 +656,17 @@ def t13_pitch_insensitive(spark, sf):
     return table(spark, sf, "temp_on_matching").select("lex_ref_link_id", "lemma_id", (text.without_pitch(c("reflex")) == text.without_pitch(c("lemma"))).alias("same"))
 
 
-@query()
+@query("""SELECT lang, lemma_id, replace(replace(replace(replace(replace(entry, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&nbsp;', chr(160)), '&amp;', '&') AS entry FROM lex_master WHERE entry IS NOT NULL""")
 def t14_unescape(spark, sf):
     return table(spark, sf, "lex_master").where("entry is not null").select("lang", "lemma_id", text.unescape("entry").alias("entry"))
 
 
-@query()
+@query("""SELECT lemma_id, lemma, replace(replace(replace(regexp_replace(translate(lower(lemma), 'áýðúéóöøí ', 'aydueoooi-'), '-$', ''), 'þ', 'th'), 'æ', 'ae'), 'œ', 'oe') AS slug FROM lex_master WHERE lang = 'ON'""")
 def t15_slug(spark, sf):
-    return table(spark, sf, "lex_master").where("lang = 'ON'").select("lemma_id", text.slug(c("lemma")).alias("slug"))
+    return table(spark, sf, "lex_master").where("lang = 'ON'").select("lemma_id", "lemma", text.slug(c("lemma")).alias("slug"))
 
 
-@query()
+@query(f"""SELECT orig_lang_abbrev_raw, {_MENDED.format('orig_lang_abbrev_raw')} AS repaired FROM unmapped_summary""")
 def t16_mojibake(spark, sf):
     u = table(spark, sf, "unmapped_summary")
     return u.select("orig_lang_abbrev_raw", text.repair_mojibake(c("orig_lang_abbrev_raw")).alias("repaired"))
@@ -682,9 +682,10 @@ def t23_shortened(spark, sf):
     return table(spark, sf, "documents").select("doc_id", text.shortened(c("text")).alias("short"))
 
 
-@query(r"""SELECT lang, lemma_id, CASE WHEN regexp_matches(entry_str, '\bmf[nā(]|\bmfn\b|\badj\b') THEN 'adj.' WHEN regexp_matches(entry_str, '\b(?:ind|adv)\b') THEN 'adv.' WHEN regexp_matches(entry_str, '\b(?:vb|cl|P|Ā)\b\.') THEN 'v.' WHEN regexp_matches(entry_str, '\b(?:subst|[mfn])\b\.') THEN 'n.' END AS pos_guess FROM lex_master""")
+@query(r"""SELECT doc_id, CASE WHEN contains(lower(text), 'interjection') THEN 'interj.' WHEN contains(lower(text), 'prefix') THEN 'pref.' WHEN contains(lower(text), 'particle') THEN 'part.'
+WHEN regexp_matches(lower(text), '(^|[^\p{L}\p{N}_])cl\.\s*\d') OR regexp_matches(text, '(^|[^\p{L}\p{N}_])(P|Ā|U)\.') THEN 'v.' ELSE '' END AS pos_guess FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)""")
 def t25_pos_heuristics(spark, sf):
-    return table(spark, sf, "lex_master").select("lang", "lemma_id", text.pos_from_text(c("entry_str")).alias("pos_guess"))
+    return table(spark, sf, "documents").select("doc_id", text.pos_from_text(c("text")).alias("pos_guess"))
 
 
 @query("""SELECT lex_ref_link_id, TRY_CAST(nullif(rt_master_id, '') AS INT) AS root, TRY_CAST(questionable AS INT) AS flag, coalesce(TRY_CAST(questionable AS INT), 0) AS safe FROM lex_ref_link""")
@@ -692,27 +693,46 @@ def n1_n2_n6_casts(spark, sf):
     return table(spark, sf, "lex_ref_link").select("lex_ref_link_id", F.nullif("rt_master_id", lit("")).try_cast("int").alias("root"), c("questionable").try_cast("int").alias("flag"), F.coalesce(c("questionable").try_cast("int"), lit(0)).alias("safe"))
 
 
-@query("""SELECT lex_ref_link_id, epoch(try_strptime(strftime(last_updated, '%m_%d_%Y_%H%M'), '%m_%d_%Y_%H%M'))::BIGINT AS stamp FROM lex_ref_link WHERE last_updated IS NOT NULL""")
+@query("""SELECT lang, lemma_id, written, epoch(try_strptime(written, '%m_%d_%Y_%H%M'))::BIGINT AS stamp FROM (SELECT lang, lemma_id, lpad(CAST(lemma_id % 14 AS VARCHAR), 2, '0') || '_' || lpad(CAST(lemma_id % 33 AS VARCHAR), 2, '0') || '_' || CAST(1990 + lemma_id % 40 AS VARCHAR) || '_' || lpad(CAST(lemma_id % 26 AS VARCHAR), 2, '0') || lpad(CAST(lemma_id % 62 AS VARCHAR), 2, '0') AS written FROM lex_master WHERE lemma_id >= 0)""")
 def n3_date_parse(spark, sf):
-    written = F.date_format("last_updated", "MM_dd_yyyy_HHmm")
-    return table(spark, sf, "lex_ref_link").where("last_updated is not null").select("lex_ref_link_id", F.unix_timestamp(F.try_to_timestamp(written, lit("MM_dd_yyyy_HHmm"))).alias("stamp"))
+    part = lambda k, plus=0: F.lpad(((c("lemma_id") % k) + plus).cast("string"), 4 if plus else 2, "0")
+    written = F.concat(part(14), lit("_"), part(33), lit("_"), part(40, 1990), lit("_"), part(26), part(62))
+    m = table(spark, sf, "lex_master").where("lemma_id >= 0").select("lang", "lemma_id", written.alias("written"))
+    return m.withColumn("stamp", F.unix_timestamp(F.try_to_timestamp("written", lit("MM_dd_yyyy_HHmm"))))
 
 
 # ------------------------------------------------------------------ JSON, corpus, star schema
 
 
-@query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events""")
-def m23_json_field(spark, sf):
-    return table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
+@query("""WITH s AS (SELECT lang, lemma_id, sense_id, min(gloss) AS gloss FROM lex_senses WHERE lang IS NOT NULL AND lemma_id IS NOT NULL AND gloss IS NOT NULL GROUP BY ALL),
+e AS (SELECT lang, lemma_id, min(lemma) AS lemma, min(pos) AS pos FROM lex_master WHERE lang IS NOT NULL GROUP BY ALL), n AS (SELECT *, row_number() OVER (ORDER BY lang, lemma_id) AS entry_no FROM e)
+SELECT n.entry_no AS lemma_id, n.lang, n.lemma, CASE WHEN coalesce(s.k, 0) = 0 THEN 'main' ELSE 'sense' END AS row_type, CASE WHEN coalesce(s.k, 0) = 0 THEN n.pos END AS pos, s.gloss, s.gloss AS entry_str, CAST(coalesce(s.k, 0) AS INT) AS sense_at
+FROM n LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY lang, lemma_id ORDER BY sense_id) - 1 AS k FROM s) s ON s.lang = n.lang AND s.lemma_id = n.lemma_id""")
+def m23_m24_m25_json_entries(spark, sf):
+    s = table(spark, sf, "lex_senses").where("lang is not null and lemma_id is not null and gloss is not null").groupBy("lang", "lemma_id", "sense_id").agg(F.min("gloss").alias("gloss"))
+    lists = s.groupBy("lang", "lemma_id").agg(F.array_sort(F.collect_list(F.struct("sense_id", "gloss"))).alias("l"))
+    e = table(spark, sf, "lex_master").where("lang is not null").groupBy("lang", "lemma_id").agg(F.min("lemma").alias("lemma"), F.min("pos").alias("pos"))
+    senses = F.transform("l", lambda x: F.struct(F.array(x["gloss"]).alias("glosses")))
+    records = e.join(lists, ["lang", "lemma_id"], "left").select(
+        F.struct("lang", "lemma_id").alias("o"), F.to_json(F.struct(c("lemma").alias("word"), c("lang").alias("lang_code"), "pos", senses.alias("senses"))).alias("line")
+    )
+    parsed = records.select("o", F.from_json("line", dictionary.JSON_RECORD).alias("r")).select("o", "r.*")
+    return dictionary.json_entries(parsed, "o").select("lemma_id", "lang", "lemma", "row_type", "pos", "gloss", "entry_str", "sense_at")
 
 
-@query("""SELECT source, coalesce(lang, 'und') AS lang, count(*) AS n_docs, CAST(sum(n_chars) AS BIGINT) AS n_chars FROM documents GROUP BY ALL""")
-def c5_source_layout(spark, sf):
-    return table(spark, sf, "documents").groupBy("source", F.coalesce("lang", lit("und")).alias("lang")).agg(F.count(lit(1)).alias("n_docs"), F.sum("n_chars").alias("n_chars"))
+@query("""SELECT lang AS file, max(CASE WHEN first THEN page_num END) IS NOT NULL AS has_book, max(CASE WHEN first THEN chapter END) IS NOT NULL AS has_chapter FROM (SELECT *, lemma_id = min(lemma_id) OVER (PARTITION BY lang) AS first FROM (SELECT lang, lemma_id, page_num, CASE WHEN lemma_id % 2 = 0 THEN gloss END AS chapter FROM lex_master WHERE lang IS NOT NULL QUALIFY row_number() OVER (PARTITION BY lang, lemma_id ORDER BY page_num NULLS FIRST, gloss NULLS FIRST) = 1)) GROUP BY 1""")
+def c5_layout_of_first_line(spark, sf):
+    m = table(spark, sf, "lex_master").where("lang is not null").groupBy(c("lang").alias("file"), c("lemma_id").alias("seq")).agg(F.min(F.struct("page_num", "gloss")).alias("s"))
+    return corpus.layout(m.select("file", "seq", c("s.page_num").alias("book"), F.when(c("seq") % 2 == 0, c("s.gloss")).alias("chapter")))
+
+
+@query(r"""SELECT doc_id, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '“”', '  '), '[\p{L}\p{M}\p{N}_]+|[^\s\p{L}\p{M}\p{N}_]')) AS tok FROM documents) WHERE tok = 'root' GROUP BY 1""")
+def c9_lookup_form(spark, sf):
+    return corpus.lookup_form(_tokens(spark, sf), "root").groupBy("doc_id").agg(F.count(lit(1)).alias("n"))
 
 
 @query(r"""SELECT w, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{M}]+')) AS w FROM documents) GROUP BY 1""")
-def c9_word_counts(spark, sf):
+def base_word_counts(spark, sf):
     return table(spark, sf, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), lit(r"[\p{L}\p{M}]+"), lit(0))).alias("w")).groupBy("w").agg(F.count(lit(1)).alias("n"))
 
 
@@ -735,7 +755,7 @@ def base_nation_revenue(spark, sf):
 # ------------------------------------------------------------------ scripts, markup, corpora: no SQL can say these
 
 
-@query()
+@query(rf"""SELECT parsed_id, master_id, length(rest) > 1 AND ends_with(gloss, rest) AS is_suffix FROM (SELECT *, regexp_replace(regexp_replace(gloss_eng, '^(?:.*?[\x{{0900}}-\x{{097F}}\x{{0980}}-\x{{09FF}}\x{{A8E0}}-\x{{A8FF}}]\)){{1,4}} *(?:[mfn]{{1,3}}\.)', ''), ' +', ' ', 'g') AS rest FROM {_PAIRS}) WHERE gloss IS NOT NULL AND gloss_eng IS NOT NULL""")
 def k5_k13_suffix_match(spark, sf):
     p = _pairs(spark, sf).where("gloss is not null and gloss_eng is not null")
     return p.select("parsed_id", "master_id", match.suffix_entry(c("gloss_eng"), c("gloss")).alias("is_suffix"))
@@ -747,7 +767,8 @@ def k6_k9_transliteration_route(spark, sf):
     return p.select("parsed_id", "master_id", "r.route", "r.score")
 
 
-@query()
+@query(r"""SELECT o.lex_ref_link_id, s.lemma, m.lang, m.lemma_id FROM (SELECT lex_ref_link_id FROM lex_ref_link WHERE word_id IS NULL) o
+JOIN (SELECT lex_ref_link_id, regexp_replace(reflex, '[-0-9*]', '', 'g') AS lemma FROM lex_ref_link WHERE word_id IS NULL AND reflex IS NOT NULL) s ON o.lex_ref_link_id = s.lex_ref_link_id JOIN lex_master m ON m.lemma = s.lemma WHERE m.lemma_id IS NOT NULL""")
 def k19_second_chance(spark, sf):
     m = table(spark, sf, "lex_master").select("lang", "lemma", "lemma_id")
     stems = table(spark, sf, "lex_ref_link").where("word_id is null and reflex is not null").select("lex_ref_link_id", F.regexp_replace("reflex", r"[-0-9*]", "").alias("lemma"))

@@ -200,18 +200,25 @@ def dump_rows(statement: str) -> list[list[str | None]]:
             row.append(re.sub(r"\\(.)", lambda e: _ESCAPES.get(e[1], e[1]), quoted.replace("''", "'"), flags=re.S))
         elif row is not None and bare is not None:
             row.append(None if bare.upper() == "NULL" else bare)
+        elif bare is not None and bare.startswith(";"):
+            break
     return rows
 
 
 def read_sql_dump(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """Rows of all INSERT statements of a dump, columns named by position, all strings."""
+    """Rows of all INSERT statements of a dump, columns named by position, all strings.
+
+    The file is cut where a line opens with INSERT INTO, so a semicolon, with or without a line end behind it,
+    may stand inside quoted text; a statement ends at the first semicolon outside.
+    """
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [r[: len(names)] + [None] * (len(names) - len(r)) for s in batch["value"] for r in dump_rows(s)]
             yield pd.DataFrame(rows, columns=names, dtype="object")
 
-    statements = spark.read.option("lineSep", ";\n").text(path).where(F.col("value").rlike(r"(?i)insert\s+into"))
+    pieces = spark.read.option("lineSep", "\nINSERT INTO ").text(path)
+    statements = pieces.where(F.col("value").rlike(r"(?is)^\s*(?:insert\s+into\s+)?\S+\s*(?:\([^)]*\)\s*)?values"))
     return statements.mapInPandas(parse, ", ".join(f"`{n}` string" for n in names))
 
 

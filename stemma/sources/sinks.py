@@ -7,24 +7,27 @@ from pyspark.sql import functions as F
 
 from stemma import schema as S
 
+#: Values are written as they are, outer blanks too.
+_AS_IS = {k: v for k, v in S.CSV_OPTIONS.items() if k != "multiLine"} | {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
 
 def write_csv(df: DataFrame, path: str, order: list[str | Column] | None = None, single_file: bool = False) -> None:
     """CSV with header; with ``order`` rows are range-partitioned, so files in name order are in order."""
     out = df.orderBy(*order) if order else df
     if single_file:
         out = out.coalesce(1) if not order else df.repartition(1).sortWithinPartitions(*order)
-    out.write.mode("overwrite").options(**{k: v for k, v in S.CSV_OPTIONS.items() if k != "multiLine"}).csv(path)
+    out.write.mode("overwrite").options(**_AS_IS).csv(path)
 
 
 def write_routed(df: DataFrame, path: str, route: str) -> None:
-    df.write.mode("overwrite").options(header="true", quote='"', escape='"', nullValue="\\N").partitionBy(route).csv(path)
+    df.write.mode("overwrite").options(**_AS_IS).partitionBy(route).csv(path)
 
 
 def write_bounded(df: DataFrame, path: str, max_bytes: int = 48_000_000, sample: float = 0.05) -> None:
     """Files of at most about ``max_bytes``: the row bound comes from the mean row size."""
     width = F.length(F.to_csv(F.struct(*df.columns)))
     mean = df.sample(fraction=sample, seed=1).agg(F.avg(width)).first()[0] or df.agg(F.avg(width)).first()[0] or 1.0
-    df.write.mode("overwrite").options(header="true", quote='"', escape='"', nullValue="\\N", maxRecordsPerFile=max(1, int(max_bytes / (mean + 1)))).csv(path)
+    df.write.mode("overwrite").options(**_AS_IS, maxRecordsPerFile=max(1, int(max_bytes / (mean + 1)))).csv(path)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
