@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark import SparkFiles
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -15,17 +17,30 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+_SHIPPED: set[tuple[str, str]] = set()
+
+
+def ship(path: str) -> None:
+    """Give the workers the vocabulary with the job, once per application; it need not lie on their machines."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and (spark.sparkContext.applicationId, path) not in _SHIPPED:
+        _SHIPPED.add((spark.sparkContext.applicationId, path))
+        spark.sparkContext.addFile(path)
+
+
 @lru_cache(maxsize=4)
 def encoding(path: str):
     import tiktoken
 
-    with open(path, "rb") as f:
+    shipped = SparkFiles.get(os.path.basename(path)) if not os.path.exists(path) else path
+    with open(shipped, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     return tiktoken.Encoding("stemma", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def n_tokens(text: Column, path: str = VOCABULARY) -> Column:
     """Number of tokens of the whole text; null and empty texts have none."""
+    ship(path)
 
     @F.pandas_udf("int")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -38,6 +53,7 @@ def n_tokens(text: Column, path: str = VOCABULARY) -> Column:
 
 def token_ids(text: Column, path: str = VOCABULARY) -> Column:
     """Tokens of the whole text; null and empty texts have none."""
+    ship(path)
 
     @F.pandas_udf("array<int>")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

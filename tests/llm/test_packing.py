@@ -52,11 +52,11 @@ def test_edges(spark):
 
 
 def test_combinations_beat_greedy(spark):
-    # the longest that fits puts 7 and 4 together and wastes one of twelve
+    # the longest that fits puts 16 and 10 together and wastes four of thirty
     n = 500
-    histogram = {7: n, 4: 3 * n, 3: n, 2: n}
-    _, best, by_pattern = P.plan(histogram, 12)
-    _, greedy, none = P.plan(histogram, 12, combine=False)
+    histogram = {16: n, 10: 3 * n, 9: n, 5: n}
+    _, best, by_pattern = P.plan(histogram, 30)
+    _, greedy, none = P.plan(histogram, 30, combine=False)
     assert best == 2 * n and by_pattern >= 0.95 * best and none == 0 and greedy > 2.15 * n
 
 
