@@ -269,18 +269,22 @@ def flat_record(record: str) -> dict:
     root = parse(record)
     texts = lambda t: [inner_text(x).strip() for x in root.iter(t)]
     cits = [{"biblio": inner_text(x.find("bibl")).strip() if x.find("bibl") is not None else None, "quote": inner_text(x.find("quote")).strip() if x.find("quote") is not None else None} for x in root.iter("cit")]
+    grammar = [{"pos": (g.findtext("pos") or "").strip() or None, "gender": (g.findtext("gen") or "").strip() or None, "itype": (g.findtext("itype") or "").strip() or None} for g in root.iter("gramGrp")]
+    refs = [{"target": x.get("target"), "text": inner_text(x).strip()} for t in ("ref", "xr") for x in root.iter(t)]
     return {
         "entry_id": root.get("id"), "headword": root.get("key") or (texts("orth") or [None])[0],
         "orthography": texts("orth"), "pos": (texts("pos") or [None])[0], "gender": (texts("gen") or [None])[0],
         "senses": [{"n": x.get("n"), "level": x.get("level"), "text": textify(x)} for x in root.iter("sense")],
         "translations": texts("tr"), "etymologies": texts("etym"), "citations": cits, "pages": [x.get("n") for x in root.iter("pb")],
+        "biblio": texts("bibl"), "gramgrp": grammar, "xrefs": refs,
     }
 
 
 FLAT = (
     "entry_id string, headword string, orthography array<string>, pos string, gender string, "
     "senses array<struct<n:string,level:string,text:string>>, translations array<string>, etymologies array<string>, "
-    "citations array<struct<biblio:string,quote:string>>, pages array<string>"
+    "citations array<struct<biblio:string,quote:string>>, pages array<string>, biblio array<string>, "
+    "gramgrp array<struct<pos:string,gender:string,itype:string>>, xrefs array<struct<target:string,text:string>>"
 )
 
 
@@ -298,7 +302,19 @@ def flatten_records(df, column: str, keys: list[str]):
 
     kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     out = df.where(F.col(column).isNotNull()).select(*keys, column).mapInPandas(rows, f"{kinds}, {FLAT}")
-    return out.withColumns({"sense_count": F.size("senses"), "tr_count": F.size("translations"), "has_sense": F.size("senses") > 0, "has_cit": F.size("citations") > 0})
+    lists = {"sense": "senses", "tr": "translations", "etym": "etymologies", "cit": "citations", "xref": "xrefs"}
+    counts = {f"{k}_count": F.size(v) for k, v in lists.items()} | {f"has_{k}": F.size(v) > 0 for k, v in lists.items()}
+    as_json = {f"{k}_json": F.to_json(k) for k in ("senses", "translations", "etymologies", "citations", "biblio", "gramgrp", "xrefs")}
+    # the first page break inside the record; where it begins is carried from the records before it
+    return out.withColumns(counts | as_json | {"page_inside": F.try_element_at("pages", F.lit(-1))})
+
+
+def with_pages(flat, partition: list[str], order: str):
+    """Add page_start and page_end to flat records: the last page broken to before the record, and in it."""
+    from stemma.operators import windows
+
+    out = windows.fill_forward(flat, "page_inside", partition, order, "page_start", inclusive=False)
+    return out.withColumn("page_end", F.coalesce("page_inside", "page_start"))
 
 
 def to_html(rules_name: str, base_indent: int = 1):

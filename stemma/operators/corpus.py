@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stemma.operators import windows
+
 FIELDS = ("pos", "lemma", "stem", "dependency_relation", "governor", "features", "category", "syllables", "phonetic_transcription")
 _TOKEN = r"[\p{L}\p{M}\p{N}_]+|[^\s\p{L}\p{M}\p{N}_]"
 
@@ -31,6 +33,35 @@ def tokenize(lines: DataFrame, doc: str = "file", order: str = "seq", body: str
     return toks
 
 
+#: What belongs to no token: blanks and quotes.
+_OUTSIDE = r"[\s“”]+"
+
+
+def align_tokens(lines: DataFrame, tokens: DataFrame, doc: str, line_order: str, body: str, token_order: str, token: str, enclitic: str = "que") -> DataFrame:
+    """tokens with ``line``, the line of the document that each begins in.
+
+    Lines and tokens are laid on one axis, the letters of the document without blanks and quotes: a token lies in
+    the last line that begins at or before it.  An annotator that splits an enclitic off a word it leaves whole
+    gives it twice; the second one takes no letters.
+    """
+    letters = lambda c: F.length(F.regexp_replace(F.coalesce(F.col(c), F.lit("")), _OUTSIDE, ""))
+    before = Window.partitionBy(doc).orderBy(token_order)
+    twice = (F.lower(token) == enclitic) & F.lower(F.lag(token).over(before)).endswith(enclitic)
+    t = tokens.withColumn("__size", F.when(F.coalesce(twice, F.lit(False)), 0).otherwise(letters(token)))
+    t = windows.running_sum(t, "__size", [doc], token_order, "__end").withColumn("__at", F.col("__end") - F.col("__size"))
+    # what takes no letters belongs to the token before it
+    t = t.withColumn("__at", F.when(F.col("__size") == 0, F.greatest(F.col("__at") - 1, F.lit(0))).otherwise(F.col("__at")))
+    own = lines.select(F.col(doc).alias("__doc"), F.col(line_order).alias("__line"), letters(body).alias("__size"))
+    own = windows.running_sum(own, "__size", ["__doc"], "__line", "__end").where("__size > 0")
+    marks = own.select("__doc", "__line", F.struct((F.col("__end") - F.col("__size")).cast("long").alias("at"), F.lit(0).alias("kind"), F.col("__line").cast("string").alias("o")).alias("__place"))
+    spots = t.select(F.col(doc).alias("__doc"), F.lit(None).cast(lines.schema[line_order].dataType).alias("__line"),
+                     F.struct(F.col("__at").cast("long").alias("at"), F.lit(1).alias("kind"), F.col(token_order).cast("string").alias("o")).alias("__place"),
+                     F.struct(*[F.col(f"`{c}`") for c in tokens.columns]).alias("__row"))
+    both = marks.withColumn("__row", F.lit(None).cast(spots.schema["__row"].dataType)).unionByName(spots)
+    placed = windows.fill_forward(both, "__line", ["__doc"], "__place", "line")
+    return placed.where("__row is not null").select("__row.*", "line")
+
+
 def annotate(tokens: DataFrame, provider: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
     """Fill the model fields with ``provider``, batch by batch; empty features become null."""
 

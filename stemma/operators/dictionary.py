@@ -164,3 +164,16 @@ def line_entries(entries: DataFrame, column: str = "entry") -> DataFrame:
 def sense_level(label):
     """Level of a label: roman, figure, letter; the rest below them."""
     return F.when(label.rlike("^[IVX]+$"), 1).when(label.rlike(r"^\d+$"), 2).when(label.rlike("^[a-z]$"), 3).otherwise(4)
+
+
+def nested_line_senses(entries: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, sense_at, label, level, h_number, parent_h_number, text: the senses of ``line_entries`` as a tree.
+
+    Roman numbers stand above figures, these above letters; the parent is the nearest earlier sense of a higher
+    level.  h_number counts the senses of an entry from 1 behind its keys.
+    """
+    s = entries.select(*keys, F.posexplode("senses").alias("at0", "s")).select(*keys, (F.col("at0") + 1).alias("sense_at"), "s.label", "s.text")
+    s = s.withColumn("level", sense_level(F.col("label")))
+    h = F.concat_ws(".", *[F.col(k).cast("string") for k in keys], F.col("sense_at").cast("string"))
+    s = windows.nearest_shallower(s.withColumn("h_number", h), keys, "sense_at", F.col("level"), "h_number", 5, "parent_h_number")
+    return s.select(*keys, "sense_at", "label", "level", "h_number", "parent_h_number", "text")

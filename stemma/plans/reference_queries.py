@@ -812,7 +812,11 @@ def m17_m20_entry_html(spark, sf):
 def m22_flat_records(spark, sf):
     m = table(spark, sf, "lex_master").where("entry is not null").select("lang", "lemma_id", "entry")
     flat = markup.flatten_records(m, "entry", ["lang", "lemma_id"])
-    return flat.select("lang", "lemma_id", "headword", "sense_count", "tr_count", "has_sense", "has_cit")
+    lists = ("sense", "tr", "etym", "cit", "xref")
+    return markup.with_pages(flat, ["lang"], "lemma_id").select(
+        "lang", "lemma_id", "headword", "pos", "gender", "page_start", "page_end", *[f"{k}_count" for k in lists], *[f"has_{k}" for k in lists],
+        *[f"{k}_json" for k in ("senses", "translations", "etymologies", "citations", "biblio", "gramgrp", "xrefs")],
+    )
 
 
 def _tokens(spark, sf):
@@ -829,3 +833,24 @@ def c1_c4_document_tokens(spark, sf):
 def snk6_section_json(spark, sf):
     t = _tokens(spark, sf).select(c("doc_id").alias("doc"), lit("1").alias("book"), lit(None).cast("string").alias("chapter"), c("seq").cast("string").alias("line_num"), "doc_token_index", "token", "pos")
     return sinks.section_json(t)
+
+
+@query(r"""SELECT doc_id, pos - 1 AS line, count(*) AS n_tokens FROM (SELECT doc_id, pos, unnest(regexp_extract_all(translate(l, '“”', '  '), '[\p{L}\p{M}\p{N}_]+|[^\s\p{L}\p{M}\p{N}_]')) AS tok FROM (SELECT doc_id, unnest(a) AS l, generate_subscripts(a, 1) AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents))) GROUP BY ALL""")
+def c3_tokens_to_lines(spark, sf):
+    """Tokens numbered through the document, as an annotator gives them, found again in their lines."""
+    lines = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("seq", "text"))
+    t = corpus.tokenize(lines, "doc_id", "seq", "text").select("doc_id", "doc_token_index", "token")
+    aligned = corpus.align_tokens(lines, t, "doc_id", "seq", "text", "doc_token_index", "token")
+    return aligned.groupBy("doc_id", "line").agg(F.count(lit(1)).alias("n_tokens"))
+
+
+@query(r"""WITH n AS (SELECT lang, lemma_id, max(lemma) AS lemma FROM lex_master WHERE lemma IS NOT NULL AND NOT regexp_matches(lemma, '[<>\n]') GROUP BY ALL)
+SELECT lang, lemma_id, k.place AS sense_at, k.label, CAST(lemma_id AS VARCHAR) || '.' || k.place AS h_number, CASE WHEN k.up > 0 THEN lemma_id || '.' || k.up END AS parent_h_number
+FROM n, (VALUES (1, 'I', 0), (2, '1', 1), (3, 'a', 2), (4, 'b', 2), (5, '2', 1), (6, 'II', 0), (7, 'c', 6)) k(place, label, up)""")
+def m13_m14_m15_line_senses(spark, sf):
+    """Lines with numbered senses of three levels scanned to trees."""
+    m = table(spark, sf, "lex_master").where("lemma is not null").where(~c("lemma").rlike(r"[<>\n]")).groupBy("lang", "lemma_id").agg(F.max("lemma").alias("lemma"))
+    body = " <I>n. x</I> I. one 1. two a. three b. four 2. five II. six c. seven"
+    lines = m.select("lang", "lemma_id", F.concat(lit("<B>"), "lemma", lit("</B>" + body)).alias("entry"))
+    senses = dictionary.nested_line_senses(dictionary.line_entries(lines).drop("lemma"), ["lang", "lemma_id"])
+    return senses.select("lang", "lemma_id", "sense_at", "label", F.regexp_extract("h_number", r"(\d+\.\d+)$", 1).alias("h_number"), F.nullif(F.regexp_extract("parent_h_number", r"(\d+\.\d+)$", 1), lit("")).alias("parent_h_number"))
