@@ -222,9 +222,9 @@ def j16_duplicates_on_either_key(spark, sf):
     return x.unionByName(y)
 
 
-@query(r"""WITH k AS (SELECT key, min(code) AS code FROM (SELECT lower(regexp_replace(trim(unnest(string_split(source_abbrev, ','))), '\s+', ' ', 'g')) AS key, eng_abbrev AS code FROM lang_abbrev_master) WHERE key <> '' GROUP BY 1),
-u AS (SELECT lower(regexp_replace(trim(orig_lang_abbrev_raw), '\s+', ' ', 'g')) AS key, sum(row_count)::BIGINT AS row_count FROM unmapped_summary GROUP BY 1)
-SELECT l.lex_ref_link_id, CASE WHEN coalesce(trim(l.lang), '') = '' THEN k.code ELSE l.lang END AS lang, u.row_count FROM (SELECT *, lower(regexp_replace(trim(orig_lang_abbrev), '\s+', ' ', 'g')) AS key FROM lex_ref_link) l LEFT JOIN k USING (key) LEFT JOIN u USING (key)""")
+@query(r"""WITH k AS (SELECT key, min(code) AS code FROM (SELECT lower(regexp_replace(trim(unnest(string_split(source_abbrev, ',')), ' '), '\s+', ' ', 'g')) AS key, eng_abbrev AS code FROM lang_abbrev_master) WHERE key <> '' GROUP BY 1),
+u AS (SELECT lower(regexp_replace(trim(orig_lang_abbrev_raw, ' '), '\s+', ' ', 'g')) AS key, sum(row_count)::BIGINT AS row_count FROM unmapped_summary GROUP BY 1)
+SELECT l.lex_ref_link_id, CASE WHEN coalesce(trim(l.lang, ' '), '') = '' THEN k.code ELSE l.lang END AS lang, u.row_count FROM (SELECT *, lower(regexp_replace(trim(orig_lang_abbrev, ' '), '\s+', ' ', 'g')) AS key FROM lex_ref_link) l LEFT JOIN k USING (key) LEFT JOIN u USING (key)""")
 def j18_j20_left_merge_lookup(spark, sf):
     key = lambda x: text.abbreviation_key(c(x))
     k = table(spark, sf, "lang_abbrev_master").select(F.explode(F.split("source_abbrev", ",")).alias("a"), c("eng_abbrev").alias("code")).withColumn("key", key("a")).where("key <> ''").groupBy("key").agg(F.min("code").alias("code"))
