@@ -95,3 +95,35 @@ def lookup_form(tokens: DataFrame, form: str) -> DataFrame:
 def second_chance(links: DataFrame, lemmatized: DataFrame, entries: DataFrame, link_id: str) -> DataFrame:
     """Open links matched through the lemma another tool supplied for their form."""
     return links.join(lemmatized.select(link_id, "lemma"), link_id).join(entries, "lemma", "left")
+
+
+# fixed values: first letter of a tag and the part of speech it stands for
+TAG_LETTERS = {
+    "N": "n.", "V": "v.", "A": "adj.", "D": "adv.", "R": "prep.", "C": "conj.", "G": "conj.", "M": "numer.", "T": "part.", "I": "interj.", "E": "interj.",
+    "P": "pron.", "L": "art.",
+}
+
+
+def pos_of_tags(tags: Column) -> Column:
+    """Part of speech of an entry by the tags of its words: the first tag that says anything decides, an unknown letter gives null."""
+    letters = F.create_map(*[F.lit(x) for pair in TAG_LETTERS.items() for x in pair])
+    telling = F.filter(tags, lambda t: t.isNotNull() & (t != "") & ~t.startswith("-"))
+    return F.try_element_at(letters, F.substring(F.try_element_at(telling, F.lit(1)), 1, 1))
+
+
+def transcribe(words: DataFrame, word: str, lang: str, providers: dict[str, Callable[[str], str]], out: str = "ipa") -> DataFrame:
+    """Add the transcription of each word by the provider of its language; empty where it fails or there is none."""
+
+    def one(w: str | None, code: str | None) -> str | None:
+        if w is None:
+            return None
+        try:
+            return providers[code](w) if code in providers else ""
+        except Exception:  # noqa: BLE001 - a provider may fail in its own ways, and the word stays without transcription
+            return ""
+
+    @F.pandas_udf("string")
+    def run(w: pd.Series, code: pd.Series) -> pd.Series:
+        return pd.Series([one(a, b) for a, b in zip(w, code)], dtype="object")
+
+    return words.withColumn(out, run(word, lang))

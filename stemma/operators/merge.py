@@ -93,3 +93,31 @@ def dangling(links: DataFrame, targets: DataFrame, link_key: list[str], target_k
     for k in link_key:
         present = present & F.col(k).isNotNull()
     return links.where(present).alias("l").join(targets.select(*target_key).distinct().alias("t"), on, "left_anti")
+
+
+def altered(df: DataFrame, add: dict[str, str] | None = None, retype: dict[str, str] | None = None, drop: list[str] | None = None) -> DataFrame:
+    """The table under a changed schema: columns taken out, others cast (null where that fails), new ones null at the end."""
+    out = df.drop(*(drop or []))
+    for name, kind in (retype or {}).items():
+        out = out.withColumn(name, F.col(name).try_cast(kind))
+    for name, kind in (add or {}).items():
+        out = out.withColumn(name, F.lit(None).cast(kind))
+    return out
+
+
+def unique_key(df: DataFrame, key: list[str]) -> bool:
+    """Whether the columns may be a primary key: no null, no value twice."""
+    no_null = df.where(" or ".join(f"`{k}` is null" for k in key)).limit(1).count() == 0
+    return no_null and ambiguous_keys(df, key).limit(1).count() == 0
+
+
+def stamped(df: DataFrame, at: str, editor: str) -> DataFrame:
+    """Set last_updated and editor; the time is given, so that a run can be repeated."""
+    return df.withColumn("last_updated", F.lit(at).cast("timestamp")).withColumn("editor", F.lit(editor))
+
+
+def moved_behind(df: DataFrame, columns: list[str], anchor: str) -> DataFrame:
+    """The columns, in the order given, right behind another one."""
+    rest = [c for c in df.columns if c not in columns]
+    at = rest.index(anchor) + 1
+    return df.select(*rest[:at], *columns, *rest[at:])

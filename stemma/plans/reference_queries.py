@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stemma.functions import markup, text, translit
 from stemma.operators import corpus, dictionary, match, merge, transliteration_match, windows
 from stemma.session import table
-from stemma.sources import sinks
+from stemma.sources import readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -854,3 +854,28 @@ def m13_m14_m15_line_senses(spark, sf):
     lines = m.select("lang", "lemma_id", F.concat(lit("<B>"), "lemma", lit("</B>" + body)).alias("entry"))
     senses = dictionary.nested_line_senses(dictionary.line_entries(lines).drop("lemma"), ["lang", "lemma_id"])
     return senses.select("lang", "lemma_id", "sense_at", "label", F.regexp_extract("h_number", r"(\d+\.\d+)$", 1).alias("h_number"), F.nullif(F.regexp_extract("parent_h_number", r"(\d+\.\d+)$", 1), lit("")).alias("parent_h_number"))
+
+
+@query("""SELECT lang, lemma_id, TRY_CAST(sense_num AS INT) AS sense_num, NULL::VARCHAR AS script, 'x' AS editor, TIMESTAMP '2026-01-02 03:04:05' AS last_updated FROM lex_master""")
+def snk11_n5_altered_and_stamped(spark, sf):
+    m = table(spark, sf, "lex_master").select("lang", "lemma_id", "sense_num", "gloss", "editor", "last_updated")
+    return merge.stamped(merge.altered(m, {"script": "string"}, {"sense_num": "int"}, ["gloss"]), "2026-01-02 03:04:05", "x")
+
+
+@query("""SELECT CAST(ordinal AS INT) AS ordinal, name FROM (VALUES (1, 'lang'), (2, 'lemma'), (3, 'lemma_translit'), (4, 'lemma_normalized'), (5, 'lemma_id')) t(ordinal, name)""")
+def x10_column_order(spark, sf):
+    m = table(spark, sf, "lex_master").select("lang", "lemma_normalized", "lemma", "lemma_id", "lemma_translit")
+    return readers.column_catalog(merge.moved_behind(m, ["lemma_translit", "lemma_normalized"], "lemma")).select("ordinal", "name")
+
+
+@query("""SELECT lang, lemma_id, CASE upper(left(pos, 1)) WHEN 'N' THEN 'n.' WHEN 'V' THEN 'v.' WHEN 'A' THEN 'adj.' WHEN 'D' THEN 'adv.' WHEN 'R' THEN 'prep.' WHEN 'C' THEN 'conj.' WHEN 'G' THEN 'conj.' WHEN 'M' THEN 'numer.' WHEN 'T' THEN 'part.' WHEN 'I' THEN 'interj.' WHEN 'E' THEN 'interj.' WHEN 'P' THEN 'pron.' WHEN 'L' THEN 'art.' END AS tagged FROM lex_master""")
+def c7_pos_of_tags(spark, sf):
+    tags = F.array(lit("---"), F.concat(F.upper("pos"), lit("-s-")))
+    return table(spark, sf, "lex_master").select("lang", "lemma_id", corpus.pos_of_tags(tags).alias("tagged"))
+
+
+@query()
+def k12_row_scores(spark, sf):
+    """Candidates of a word scored one by one, then routed by the best of their group."""
+    p = _pairs(spark, sf).where("gloss is not null and gloss_eng is not null").withColumn("score", transliteration_match.row_score(c("gloss_eng"), c("gloss")))
+    return match.route_by_group(p, ["parsed_id"], c("score"), F.coalesce(match.exact_entry(c("gloss_eng"), c("gloss")), lit(False))).select("parsed_id", "master_id", "score", "route")

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from stemma.functions import markup, text
-from stemma.operators import match, merge
+from stemma.operators import corpus, match, merge
+from stemma.operators import transliteration_match as TM
 from stemma.session import spread_join
 from stemma.sources import readers
 
@@ -82,3 +83,34 @@ def test_deep_tree_as_text():
         e = markup.ET.SubElement(e, "div")
     e.text = "end"
     assert markup.textify(root) == "end"
+
+
+def test_schema_changes(spark):
+    df = spark.createDataFrame([("1", "x", 2), ("b", None, 3)], "a string, b string, k int")
+    out = merge.altered(df, {"n": "date"}, {"a": "int"}, ["b"])
+    assert out.dtypes == [("a", "int"), ("k", "int"), ("n", "date")] and [tuple(r) for r in out.collect()] == [(1, 2, None), (None, 3, None)]
+    assert merge.unique_key(df, ["k"]) and not merge.unique_key(df, ["b"]) and not merge.unique_key(df.union(df), ["k"])
+    assert merge.moved_behind(df, ["k", "b"], "a").columns == ["a", "k", "b"]
+
+
+def test_tags_and_transcriptions(spark):
+    df = spark.createDataFrame([(["-x", None, "N-s"], "a", "L"), (["Q"], "b", "L"), ([], "c", "M"), (None, None, "L")], "t array<string>, w string, l string")
+    assert [r.p for r in df.select(corpus.pos_of_tags(F.col("t")).alias("p")).collect()] == ["n.", None, None, None]
+    got = corpus.transcribe(df, "w", "l", {"L": lambda w: {"a": "A"}[w]})
+    assert [r.ipa for r in got.collect()] == ["A", "", "", None]
+
+
+def test_row_scores(spark):
+    cases = [("ab", "ab c", 101.0), ("devá (देव) x", "no", -1.0), ("devá (देव) x", "dev (देव)a x", 102.0), ("abcd", "abcx", 75.0), (None, "a", None)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(cases)], "i int, a string, b string")
+    got = [r.s for r in df.select("i", TM.row_score(F.col("a"), F.col("b")).alias("s")).orderBy("i").collect()]
+    assert [got[0], got[1], got[3], got[4]] == [101.0, -1.0, 75.0, None] and got[2] in (102.0, 103.0)
+
+
+def test_enclitics_given_twice(spark):
+    lines = spark.createDataFrame([("d", 1, "“arma virumque"), ("d", 2, "  "), ("d", 3, "cano, Troiae")], "doc string, seq int, body string")
+    words = ["arma", "virumque", "que", "cano", ",", "Troiae"]
+    tokens = spark.createDataFrame([("d", i, w) for i, w in enumerate(words)], "doc string, n int, token string")
+    got = {r.n: r.line for r in corpus.align_tokens(lines, tokens, "doc", "seq", "body", "n", "token").collect()}
+    assert got == {0: 1, 1: 1, 2: 1, 3: 3, 4: 3, 5: 3}
+    assert corpus.align_tokens(lines, tokens.limit(0), "doc", "seq", "body", "n", "token").count() == 0
