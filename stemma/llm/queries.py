@@ -145,8 +145,11 @@ def _entries(spark: SparkSession, sf: str) -> DataFrame:
     return m.withColumn("skel", linkage.skeleton(F.col("fold")))
 
 
-def _linkable(spark: SparkSession, sf: str, only_open: bool = True) -> DataFrame:
-    """Attested words with their languages (null if none is given or named), standard form, senses and page."""
+def _linkable(spark: SparkSession, sf: str, dictionaries: list[str], only_open: bool = True) -> DataFrame:
+    """Attested words with their languages (null if none is given or named), standard form, senses and page.
+
+    Rows whose languages have no dictionary stand for no entry and are left out.
+    """
     r = table(spark, sf, "lex_ref_link").where("lex_ref_link_id is not null")
     if only_open:
         paired = table(spark, sf, "temp_on_matching").select("lex_ref_link_id")
@@ -166,6 +169,7 @@ def _linkable(spark: SparkSession, sf: str, only_open: bool = True) -> DataFrame
     codes = table(spark, sf, "lang_abbrev_master").select(F.col("abbrev_id").alias("entry"), F.col("eng_abbrev").alias("code"))
     named = canonical.canonicalize(typed, _vocabulary(spark, sf)).join(F.broadcast(codes), "entry").groupBy(F.col("v").alias("orig_lang_abbrev")).agg(F.array_sort(F.collect_set("code")).alias("codes"))
     r = r.join(named, "orig_lang_abbrev", "left").withColumn("langs", F.when(F.col("lang").isNotNull(), F.array("lang")).otherwise(F.col("codes")))
+    r = r.where(F.col("langs").isNull() | F.arrays_overlap("langs", F.array(*map(F.lit, sorted(dictionaries))).cast("array<string>")))
     # the alphabet of one language; without one, or with several, the letters tell
     r = r.withColumn("lang", F.when(F.size("langs") == 1, F.col("langs")[0]))
     r = charnorm.standardize(r, "reflex", "lang", "form")
@@ -179,7 +183,7 @@ def p5_matches(spark: SparkSession, sf: str) -> DataFrame:
     """The entry each open row stands for, with a confidence."""
     # the dictionaries there are, each tried for rows whose language is neither given nor named
     languages = [x["lang"] for x in table(spark, sf, "lex_master").where("lang is not null").select("lang").distinct().collect()]
-    found = linkage.link(cut(_linkable(spark, sf)), cut(_entries(spark, sf)), languages)
+    found = linkage.link(cut(_linkable(spark, sf, languages)), cut(_entries(spark, sf)), languages)
     return found.select("lang", "lemma_id", F.col("row_id").alias("lex_ref_link_id"), "confidence")
 
 
