@@ -232,7 +232,7 @@ def _entity(m: re.Match) -> str:
         return ENTITIES[name]
     letter, _, mark = name.partition("-")
     # the acute is put on small letters only
-    if len(letter) == 1 and mark in ENTITY_MARKS and (mark != "acute" or letter.islower()) and (letter.islower() or mark != "acute"):
+    if len(letter) == 1 and mark in ENTITY_MARKS and (mark != "acute" or letter.islower()):
         return letter + ENTITY_MARKS[mark]
     return m[0]
 
