@@ -63,3 +63,12 @@ def test_list_beyond_any_bound(spark, monkeypatch):
     more = [(1000 + i, None, f"place{i}.", f"Place {i} City") for i in range(3000)]
     got = run(spark, ["lat.", "altwatrunisch", "spätwatrunisch", "watrunnisch", "plaec77"], REFERENCE + more)
     assert got == want | {"plaec77": {1077}}
+
+
+def test_rules_come_from_the_whole_list(spark):
+    """Rules that few of 60,000 entries show are learnt, the same as from those few."""
+    more = [(1000, None, f"place{i}.", "Place City Hall") for i in range(60_000)]
+    values = ["altwatrunisch", "spätwatrunisch", "spaetwatrun."]
+    assert run(spark, values, REFERENCE + more) == {"altwatrunisch": {2}, "spätwatrunisch": {4}, "spaetwatrun.": {4}}
+    for rows in (REFERENCE, REFERENCE[:3], []):
+        assert K.learn_all(spark.createDataFrame(rows, "e int, short string, spellings string, full string")) == K.learn(rows)
